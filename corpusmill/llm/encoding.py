@@ -9,7 +9,7 @@ readings of highest posterior.
 
 The likelihood of a reading has three parts: bytes that happen to form valid UTF-8 are hardly an accident (a fixed gain
 for each sequence), a reading that many sources have is likelier than one that few have, and characters that the corpus
-hardly has are unlikely. Where characters were lost, the words of the corpus are put through the same losses, and a word
+hardly has, or several accented Latin letters in a row, are unlikely. Where characters were lost, the words of the corpus are put through the same losses, and a word
 that comes out the same is a reading.
 """
 
@@ -31,7 +31,7 @@ from .shared import cut
 SINGLE = ("cp1252", "latin-1", "mac_roman", "cp1251", "cp437", "cp850", "koi8-r", "cp866")
 DOUBLE = ("gbk", "big5", "shift_jis", "euc_kr")
 #: 8-bit text read as another 8-bit encoding: (read as, really).
-PAIRS = (("cp1252", "cp1251"), ("latin-1", "cp1251"), ("cp1251", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp437", "cp1252"), ("cp1252", "koi8-r"))
+PAIRS = (("cp1252", "cp1251"), ("latin-1", "cp1251"), ("cp1251", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp437", "cp1252"), ("cp1252", "koi8-r"), ("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "cp866"))
 GAIN, LOST_GAIN, LONG_PENALTY, RARE_PENALTY, DEPTH, ROUNDS, SMOOTHING = 5.0, 3.0, 0.5, 4.0, 3, 4, 5.0
 #: Most characters that count as usual in the corpus, and their least part of all characters beyond ASCII.
 USUAL, USUAL_PART = 5_000, 2e-5
@@ -201,7 +201,7 @@ def decide(df: DataFrame, key: str = "page_id", text: str = "text", source: str
 
     options = seen.where(F.size("options") > 1).select("source", "word", "n", F.explode("options").alias("o")).select("source", "word", "n", "o.*")
     rated = options.unionByName(_lossy(seen, clean)).join(spread, "core", "left")
-    fit = F.col("gain") + 2 * F.log(F.coalesce(F.col("seen"), F.lit(0)) + F.lit(0.5)) - RARE_PENALTY * F.least(rare, F.lit(3))
+    fit = F.col("gain") + 2 * F.log(F.coalesce(F.col("seen"), F.lit(0)) + F.lit(0.5)) - RARE_PENALTY * F.least(rare, F.lit(3)) - F.greatest(F.regexp_count("reading", F.lit("[À-ÿ](?=[À-ÿ])")) - 1, F.lit(0))
     rated = rated.groupBy("source", "word", "reading").agg(F.max("n").alias("n"), F.max_by("chain", fit).alias("chain"), F.max(fit).alias("fit"))
     rated = cut(rated, "readings")
     own = Window.partitionBy("source", "word")
