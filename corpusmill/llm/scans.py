@@ -25,7 +25,7 @@ BODY_SHARE, FULL = 0.8, 0.8
 # What scanners take for each other, each written as the smaller parts that it may fall into.
 PARTS = {
     "m": "rn", "w": "vv", "d": "ci", "u": "ii", "h": "ii", "b": "ii", "0": "o", "1": "i", "l": "i", "!": "i", "|": "i",
-    "5": "s", "9": "g", "@": "a", "e": "c", "f": "t",
+    "5": "s", "8": "ii", "9": "g", "@": "a", "e": "c", "f": "t",
 }
 FIGURES = str.maketrans({"l": "1", "I": "1", "|": "1", "i": "1", "O": "0", "o": "0", "S": "5", "s": "5"})
 _PARTS = str.maketrans(PARTS)
