@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookalike import INVISIBLE, SUSPECT_CLASS, TABLE, fold, suspect
+from .lookalike import INVISIBLE, TABLE, fold, suspect
 from .shared import cut
 
 #: Longest word the tries hold, in folded characters; longer runs without a space are normalised by the table alone.
@@ -29,51 +29,53 @@ _ONE_SCRIPT = re.compile("[Ѐ-ԯ0-9]+|[Ͱ-Ͽ0-9]+")
 
 
 class Trie:
-    """Spellings by their characters; a node is a dict, its word is kept under the key ''."""
+    """Spellings by their characters. A node is [word and count or None, {first printed character: [(what a character
+    prints as, the character, node below)]}]; characters that print as nothing stand under ''."""
 
     def __init__(self) -> None:
-        self.root: dict = {}
+        self.root: list = [None, {}]
 
     def add(self, word: str, count: int) -> None:
         node = self.root
         for c in word:
-            node = node.setdefault(c, {})
-        node[""] = (word, node.get("", (word, 0))[1] + count)
+            brings = _brings(c)
+            branch = node[1].setdefault(brings[:1], [])
+            below = next((n for _, other, n in branch if other == c), None)
+            if below is None:
+                below = [None, {}]
+                branch.append((brings, c, below))
+            node = below
+        node[0] = (word, (node[0][1] if node[0] else 0) + count)
 
     def reach(self, word: str, budget: int = 0) -> list[tuple[int, str, int]]:
         """(cost, spelling, count) of every spelling within the budget.
 
-        A state is (node, place in the word, characters owed): a ligature or a split accent on one side owes the
-        characters that the other side still has to bring.
+        A state is (cost, node, place in the word); look-alikes, ligatures and ignorable characters move it on at no
+        cost, a character that is missing, added or another one costs 1.
         """
         text = unicodedata.normalize("NFD", word.translate(TABLE))
-        best: dict[tuple[int, int, str], int] = {}
+        best: dict[tuple[int, int], int] = {}
         found: dict[str, tuple[int, int]] = {}
-        todo = [(0, self.root, 0, "")]
+        todo = [(0, self.root, 0)]
         while todo:
-            cost, node, i, owed = todo.pop()
-            key = (id(node), i, owed)
-            if best.get(key, budget + 1) <= cost:
+            cost, node, i = todo.pop()
+            if best.get((id(node), i), budget + 1) <= cost:
                 continue
-            best[key] = cost
-            if i == len(text) and not owed and "" in node:
-                spelling, count = node[""]
+            best[id(node), i] = cost
+            if i == len(text) and node[0]:
+                spelling, count = node[0]
                 found[spelling] = min(found.get(spelling, (cost, count)), (cost, count))
-            for c, below in node.items():
-                if not c:
-                    continue
-                brings = owed + _brings(c)
-                j = 0
-                while j < len(brings) and i + j < len(text) and brings[j] == text[i + j]:
-                    j += 1
-                if j == len(brings):
-                    todo.append((cost, below, i + j, ""))
-                elif i + j == len(text) and j < len(brings):
-                    continue
-                elif cost < budget:
-                    todo.append((cost + 1, below, min(len(text), i + 1), ""))
-            if cost < budget and i < len(text):
-                todo.append((cost + 1, node, i + 1, owed))
+            for _, _, below in node[1].get("", ()):
+                todo.append((cost, below, i))
+            for brings, _, below in node[1].get(text[i : i + 1], ()) if i < len(text) else ():
+                if text.startswith(brings, i):
+                    todo.append((cost, below, i + len(brings)))
+            if cost < budget:
+                if i < len(text):
+                    todo.append((cost + 1, node, i + 1))
+                for branch in node[1].values():
+                    for _, _, below in branch:
+                        todo += [(cost + 1, below, i), (cost + 1, below, min(len(text), i + 1))]
         return [(cost, w, n) for w, (cost, n) in found.items()]
 
 
@@ -108,17 +110,18 @@ def _suspect_words(texts: Iterator[str | None]) -> Counter:
     return words
 
 
-def is_suspect(*columns: Column) -> Column:
-    """Rows in which a text has a character that may look like another."""
-    tests = [F.coalesce(c, F.lit("")).rlike(SUSPECT_CLASS) for c in columns]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out | t
-    return out
+def is_suspect(text: Column, heading: Column) -> Column:
+    """Rows in which a text or heading has a character that may look like another (one search for each, in C)."""
+
+    @F.pandas_udf("boolean")
+    def test(texts: pd.Series, headings: pd.Series) -> pd.Series:
+        return pd.Series([(t is not None and suspect(t)) or (h is not None and suspect(h)) for t, h in zip(texts, headings)])
+
+    return test(text, heading)
 
 
 def vocabulary(df: DataFrame, *texts: str) -> DataFrame:
-    """(word, look, count) of every word up to LONGEST characters, counted inside the tasks before the shuffle."""
+    """(word, look, suspect, count) of every word up to LONGEST characters, counted inside the tasks before the shuffle."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         raw: Counter = Counter()
@@ -130,8 +133,8 @@ def vocabulary(df: DataFrame, *texts: str) -> DataFrame:
                     for w in _WORD.findall(token):
                         words[w] += n
             raw.clear()
-            kept = [(w, look, n) for w, n in words.items() if len(look := fold(w)) <= LONGEST and not look.isdigit()]
-            return pd.DataFrame(kept, columns=["word", "look", "count"])
+            kept = [(w, look, suspect(w), n) for w, n in words.items() if len(look := fold(w)) <= LONGEST and not look.isdigit()]
+            return pd.DataFrame(kept, columns=["word", "look", "suspect", "count"])
 
         for batch in batches:
             for c in batch.columns:
@@ -142,8 +145,8 @@ def vocabulary(df: DataFrame, *texts: str) -> DataFrame:
                 yield flush()
         yield flush()
 
-    seen = df.select(*texts).mapInPandas(count, "word string, look string, count long")
-    return seen.groupBy("word", "look").agg(F.sum("count").alias("count"))
+    seen = df.select(*texts).mapInPandas(count, "word string, look string, suspect boolean, count long")
+    return seen.groupBy("word", "look", "suspect").agg(F.sum("count").alias("count"))
 
 
 def spellings(df: DataFrame, *texts: str) -> DataFrame:
@@ -152,10 +155,10 @@ def spellings(df: DataFrame, *texts: str) -> DataFrame:
     Tries are built by shards of the look-alike classes, as many as spark.sql.shuffle.partitions has, so no shard grows
     beyond its part of the vocabulary. Only classes that hold a suspect word enter.
     """
-    words = vocabulary(df, *texts).withColumn("suspect", is_suspect(F.col("word")))
+    words = vocabulary(df, *texts)
     classes = words.where("suspect").select("look").distinct()
     shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    sharded = words.join(classes, "look", "left_semi").withColumn("shard", F.pmod(F.xxhash64("look"), F.lit(4 * shards)))
+    sharded = words.join(classes, "look", "left_semi").withColumn("shard", F.pmod(F.xxhash64("look"), F.lit(4 * shards))).repartition(shards, "shard")
 
     def walk(rows: pd.DataFrame) -> pd.DataFrame:
         trie = Trie()
