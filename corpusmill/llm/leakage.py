@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lookalike import fold
+from .lookalike import fold, suspect
 
 SHINGLE, SPAN, EDITS = 5, 15, 8
 #: Upper sizes, in shingles, of the size classes of blocks.
@@ -45,7 +45,7 @@ def words_of(text: str | None) -> list[str]:
     """Words without letter case, punctuation, markup, line-end hyphens and look-alike characters."""
     if not text:
         return []
-    if not text.isascii():
+    if suspect(text):
         text = fold(text)
     if "<" in text or "&" in text or "](" in text:
         text = _TAG.sub(_unmark, text)
@@ -127,7 +127,7 @@ class Index:
                 shingles.append(part)
                 groups.append(np.full(len(part), len(owner)))
                 owner.append(t)
-        self.signature = {}
+        self.signature, every = {}, [np.empty(0, np.uint64)]
         s = np.concatenate(shingles) if shingles else np.empty(0, np.uint64)
         g = np.concatenate(groups) if groups else np.empty(0, np.int64)
         owners = np.asarray(owner, np.int64)
@@ -135,6 +135,10 @@ class Index:
             gg, values = signatures(s, g, 4 * size)
             pairs = np.unique(np.stack([values, owners[gg].astype(np.uint64)]), axis=1) if len(values) else np.empty((2, 0), np.uint64)
             self.signature[size] = pairs
+            every.append(pairs[0])
+        self.values = np.unique(np.concatenate(every))
+        self.bits = np.zeros(1 << 24, bool)
+        self.bits[self.values >> np.uint64(40)] = True
         self.grams: list[dict[tuple[str, ...], list[int]]] = []
         for w, _ in self.texts:
             places: dict[tuple[str, ...], list[int]] = defaultdict(list)
@@ -144,7 +148,15 @@ class Index:
 
     def candidates(self, shingles: np.ndarray, doc: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
         """(document, text) pairs whose blocks agree with a window in a bin of their size class."""
-        found = set()
+        found: set[tuple[int, int]] = set()
+        # a document none of whose shingles is a least hash of a window agrees with none
+        maybe = np.flatnonzero(self.bits[shingles >> np.uint64(40)])
+        hits = maybe[np.isin(shingles[maybe], self.values)]
+        if not len(hits):
+            return []
+        near = np.zeros(int(doc[-1]) + 1, bool)
+        near[doc[hits]] = True
+        shingles, doc, sizes = (x[near[doc]] for x in (shingles, doc, sizes))
         for size in CLASSES:
             low = CLASSES[CLASSES.index(size) - 1] if size != CLASSES[0] else 0
             mine = (sizes > low) & ((sizes <= size) if size != CLASSES[-1] else True)
@@ -249,7 +261,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, block_rows: int = BLOCK
 def _search(index):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         look, cache = index.value, {}
-        for batch in batches:
+        for batch in (whole.iloc[at : at + 1000] for whole in batches for at in range(0, len(whole), 1000)):  # bounded lists of words
             ids, texts = batch["doc_id"].tolist(), batch["text"].tolist()
             plain = [words_of(t) for t in texts]
             joined = [words_of(_HYPHEN.sub("", t)) if t and "\n" in t and _HYPHEN.search(t) else None for t in texts]
