@@ -19,7 +19,7 @@ def winners(chunks: DataFrame) -> DataFrame:
     The text's hash is shuffled, not the text; the argmin is aggregated before the shuffle, so a text that a third of all
     chunks share goes over the network once a task.
     """
-    keyed = chunks.select("chunk_seq", clean_path(F.col("source_file")).alias("source_file"), F.sha1("text").alias("hash"))
+    keyed = chunks.select("chunk_seq", clean_path(F.col("source_file")).alias("source_file"), F.coalesce(F.sha1("text"), F.lit("")).alias("hash"))  # null texts are one text
     rank = F.struct(*[c.alias(f"r{i}") for i, c in enumerate([*canonical_order(F.col("source_file")), F.col("chunk_seq")])])
     best = keyed.groupBy("hash").agg(F.min(rank).alias("best"))
     return keyed.join(best, "hash").select("chunk_seq", "source_file", "hash", F.col("best.r2").alias("winner"), (F.col("best.r3") == F.col("chunk_seq")).alias("survives"))
