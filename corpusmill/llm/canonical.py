@@ -23,7 +23,7 @@ from .shared import cut
 
 #: Longest word the tries hold, in folded characters; longer runs without a space are normalised by the table alone.
 LONGEST = 64
-_LETTER = r"(?:[^\W_]|[̀-ͯऀ-ः़-्॑-ॗॢॣ" + INVISIBLE + r"])"
+_LETTER = r"(?:[^\W_]|[\u0300-\u036f\u0900-\u0903\u093c-\u094d\u0951-\u0957\u0962\u0963" + INVISIBLE + r"])"
 _WORD = re.compile(_LETTER + "+")
 _ONE_SCRIPT = re.compile("[Ѐ-ԯ0-9]+|[Ͱ-Ͽ0-9]+")
 
@@ -90,7 +90,7 @@ def _brings(c: str) -> str:
 
 
 def _standing(word: str) -> int:
-    """0: no suspect character; 1: letters of one other script; 2: mixed scripts, ignorable characters or wide forms."""
+    """0: nothing suspect; 1: letters of one other script; 2: mixed scripts, ignorable characters or wide forms."""
     if not suspect(word):
         return 0
     return 1 if _ONE_SCRIPT.fullmatch(word) else 2

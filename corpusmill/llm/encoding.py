@@ -32,14 +32,14 @@ SINGLE = ("cp1252", "latin-1", "mac_roman", "cp1251", "cp437", "cp850", "koi8-r"
 DOUBLE = ("gbk", "big5", "shift_jis", "euc_kr")
 #: 8-bit text read as another 8-bit encoding: (read as, really).
 PAIRS = (("cp1252", "cp1251"), ("latin-1", "cp1251"), ("cp1251", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp437", "cp1252"), ("cp1252", "koi8-r"), ("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "cp866"))
-GAIN, LOST_GAIN, LONG_PENALTY, RARE_PENALTY, DEPTH, ROUNDS, SMOOTHING = 5.0, 3.0, 0.5, 4.0, 3, 4, 5.0
+GAIN, LOST_GAIN, LONG_PENALTY, RARE_PENALTY, DEPTH, ROUNDS, SMOOTHING = 5.0, 3.0, 0.5, 6.0, 3, 4, 5.0
 #: Most characters that count as usual in the corpus, and their least part of all characters beyond ASCII.
 USUAL, USUAL_PART = 5_000, 2e-5
 
 _TOKEN = re.compile(r"[^ \n\t\r]+")
 _ENTITY = re.compile(r"&(?:#\d{2,7}|#x[0-9A-Fa-f]{2,6}|[A-Za-z][A-Za-z0-9]{1,7});")
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
-LOST = "�"
+LOST = "\ufffd"
 SELF = "as is"
 
 
@@ -191,17 +191,22 @@ def evidence(df: DataFrame, key: str = "page_id", text: str = "text", source: st
 def decide(df: DataFrame, key: str = "page_id", text: str = "text", source: str = "source_rel", rounds: int = ROUNDS) -> DataFrame:
     """(source, word, chain, reading, posterior): the reading of highest posterior of every word that has several."""
     seen = cut(evidence(df, key, text, source), "evidence")
-    # a word that no wrong decoding of UTF-8 explains may be clean: how many sources have it tells
-    clean = cut(seen.where(~F.exists("options", lambda o: o["gain"] > 0)).select("source", "word", F.element_at("options", 1)["core"].alias("core"), "n"), "clean")
-    spread = clean.groupBy("core").agg(F.countDistinct("source").alias("seen"))
-    chars = clean.where(~F.col("word").contains(LOST)).select(F.explode(F.split("word", "")).alias("c"), "n").where(F.ascii("c") > 127).groupBy("c").agg(F.sum("n").alias("n"))
+    strict = seen.where(~F.exists("options", lambda o: o["gain"] > 0) & ~F.col("word").contains(LOST))
+    chars = strict.select(F.explode(F.split("word", "")).alias("c"), "n").where(F.ascii("c") > 127).groupBy("c").agg(F.sum("n").alias("n"))
     whole = chars.agg(F.sum("n")).first()[0] or 0
-    usual = [r["c"] for r in chars.where(F.col("n") >= USUAL_PART * whole).orderBy(F.desc("n"), "c").limit(USUAL).collect()]
-    rare = F.length(F.translate(F.regexp_replace("reading", r"[\x00-\x7f]", ""), "".join(usual) or " ", ""))
+    usual = "".join(r["c"] for r in chars.where(F.col("n") >= USUAL_PART * whole).orderBy(F.desc("n"), "c").limit(USUAL).collect()) or " "
+
+    def rare(reading):
+        return F.length(F.translate(F.regexp_replace(reading, r"[\x00-\x7f]", ""), usual, ""))
+
+    # a word that no wrong decoding of UTF-8 explains in usual characters may be clean: how many sources have it tells
+    clean = seen.where(~F.exists("options", lambda o: (o["gain"] > 0) & (rare(o["reading"]) == 0))).select("source", "word", F.element_at("options", 1)["core"].alias("core"), "n")
+    clean = cut(clean, "clean")
+    spread = clean.groupBy("core").agg(F.countDistinct("source").alias("seen"))
 
     options = seen.where(F.size("options") > 1).select("source", "word", "n", F.explode("options").alias("o")).select("source", "word", "n", "o.*")
     rated = options.unionByName(_lossy(seen, clean)).join(spread, "core", "left")
-    fit = F.col("gain") + 2 * F.log(F.coalesce(F.col("seen"), F.lit(0)) + F.lit(0.5)) - RARE_PENALTY * F.least(rare, F.lit(3)) - F.greatest(F.regexp_count("reading", F.lit("[À-ÿ](?=[À-ÿ])")) - 1, F.lit(0))
+    fit = F.col("gain") + 2 * F.log(F.coalesce(F.col("seen"), F.lit(0)) + F.lit(0.5)) - RARE_PENALTY * rare(F.col("reading")) - F.greatest(F.regexp_count("reading", F.lit("[À-ÿ](?=[À-ÿ])")) - 1, F.lit(0))
     rated = rated.groupBy("source", "word", "reading").agg(F.max("n").alias("n"), F.max_by("chain", fit).alias("chain"), F.max(fit).alias("fit"))
     rated = cut(rated, "readings")
     own = Window.partitionBy("source", "word")

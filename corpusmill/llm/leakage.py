@@ -31,7 +31,7 @@ BLOCK_ROWS = 20_000
 SHARED_OPENING = 3
 
 _TAG = re.compile(r"</?[A-Za-z][^<>]{0,80}>|&(?:[A-Za-z]{2,8}|#\d{1,6}|#x[0-9a-fA-F]{1,5});|!?\[([^\]\n]{0,200})\]\([^)\s]{0,200}\)")
-_HYPHEN = re.compile(r"(?<=[^\W\d_])[-­‐‑¬]\s*\n\s*(?=[^\W\d_])")
+_HYPHEN = re.compile(r"(?<=[^\W\d_])[-\u00ad\u2010\u2011¬]\s*\n\s*(?=[^\W\d_])")
 _WORD = re.compile(r"[^\W_]+")
 
 

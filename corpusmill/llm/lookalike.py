@@ -12,17 +12,17 @@ import re
 import unicodedata
 
 # Unicode characters by the way they print.
-SPACES = "             　"
-INVISIBLE = "­͏؜ᅟ᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩︎️﻿"
-HYPHENS = "‐‑﹣－"
+SPACES = "\u00a0\u1680\u2000\u2002\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+INVISIBLE = "\u00ad\u034f\u061c\u115f\u180e\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\u2066\u2067\u2068\u2069\ufe0e\ufe0f\ufeff"
+HYPHENS = "\u2010\u2011\ufe63\uff0d"
 CYRILLIC = {
-    "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ѕ": "S", "І": "I", "Ј": "J", "Ү": "Y",
+    "\u0410": "A", "\u0412": "B", "\u0415": "E", "\u041a": "K", "\u041c": "M", "\u041d": "H", "\u041e": "O", "\u0420": "P", "\u0421": "C", "\u0422": "T", "\u0423": "Y", "\u0425": "X", "\u0405": "S", "\u0406": "I", "\u0408": "J", "\u04ae": "Y",
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "ԁ": "d", "һ": "h", "ԛ": "q", "ԝ": "w", "ӏ": "l",
 }
 GREEK = {
-    "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ϲ": "c", "ϳ": "j",
+    "\u0391": "A", "\u0392": "B", "\u0395": "E", "\u0396": "Z", "\u0397": "H", "\u0399": "I", "\u039a": "K", "\u039c": "M", "\u039d": "N", "\u039f": "O", "\u03a1": "P", "\u03a4": "T", "\u03a5": "Y", "\u03a7": "X", "\u03bf": "o", "\u03f2": "c", "\u03f3": "j",
 }
-OTHER = {"ı": "ı", "K": "K", "Å": "Å", "ʼ": "’", "ı̇": "i"}
+OTHER = {"\u0131": "\u0131", "\u212a": "K", "\u212b": "\u00c5", "\u02bc": "\u2019", "\u0131\u0307": "i"}
 LIGATURES = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0xFB00, 0xFB07)}
 WIDE = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0xFF01, 0xFF5F)}
 
@@ -34,22 +34,21 @@ TABLE = (
     | {ord(k): v for k, v in WIDE.items() if k != "－"}
     | {ord(k): v for k, v in OTHER.items() if len(k) == 1 and k != v}
 )
-MARKS = "̀-ͯ"
+MARKS = "\u0300-\u036f"
 
 #: A character class (for Java and Python alike) of everything that `fold` may change.
 SUSPECT_CLASS = (
     "["
     + SPACES + INVISIBLE + HYPHENS + "".join(CYRILLIC) + "".join(GREEK)
-    + "KÅʼﬀ-ﬆ！-～Ḁ-ỿ" + MARKS
-    + "̀-̈́ʹ;·क़-य़ऩऱऴ"
+    + "\u212a\u212b\u02bc\ufb00-\ufb06\uff01-\uff5e\u1e00-\u1eff" + MARKS
+    + "\u0340-\u0344\u0374\u037e\u0387\u0958-\u095f\u0929\u0931\u0934"
     + "]"
 )
-_SUSPECT = re.compile(SUSPECT_CLASS)
-_ANY_FORM = re.compile("[̀-़ͯक़-य़ऩऱऴ]")
+_SUSPECT = re.compile(SUSPECT_CLASS + "|[A-Za-z][\u0370-\u052f]|[\u0370-\u052f][A-Za-z]")
 
 
 def suspect(text: str) -> bool:
-    """Whether `fold` could change the text."""
+    """Whether `fold` could change the text, or letters of two scripts stand side by side in it."""
     return not text.isascii() and _SUSPECT.search(text) is not None
 
 

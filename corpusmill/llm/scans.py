@@ -37,7 +37,7 @@ _NUMBER = re.compile(r"(?=.*\d)(?=.*[lOSI|o])[\dlOSI|o]+")
 _ALONE = re.compile(r"[\W_]*(?:(?:page|pg|p)\.?\s*)?(?P<n>[0-9lIOS|]{1,5}|[ivxlc]{1,9})(?:\s*(?:of|/)\s*[0-9lIOS|]{1,5})?[\W_]*", re.I)
 _FIRST = re.compile(r"[\W_]*(?P<n>[0-9lIOS|]{1,5}|[ivxlc]{1,9})[\W_]*\s(?P<rest>.*[^\W\d_].*)")
 _LAST = re.compile(r"(?P<rest>.*[^\W\d_].*?)(?:\s|[|\-–—])[\W_]*(?:(?:page|pg|p)\.?\s*)?(?P<n>[0-9lIOS|]{1,5}|[ivxlc]{1,9})[\W_]*", re.I)
-_END = re.compile(r"(?P<left>[^\W\d_](?:[\w@|!]|-(?=\w))*)(?P<mark>[-‐­¬–=~])\s*$")
+_END = re.compile(r"(?P<left>[^\W\d_](?:[\w@|!]|-(?=\w))*)(?P<mark>[-\u2010\u00ad¬–=~])\s*$")
 _NEXT = re.compile(r"\s*(?P<right>[^\W\d_][\w@|!]*)")
 
 
@@ -228,7 +228,7 @@ def analysed(df: DataFrame, key: str = "page_id", text: str = "text", source: st
         .join(plain.withColumnRenamed("n", "n_word"), "word", "left")
         .fillna(0, ["n_whole", "n_compound", "n_left", "n_right", "n_word"])
     )
-    soft = F.col("mark").isin("­", "¬", "–", "=", "~")
+    soft = F.col("mark").isin("\u00ad", "¬", "–", "=", "~")
     own = (F.col("n_compound") > 0) & (F.col("n_compound") >= 0.1 * F.col("n_whole"))
     parts = (F.col("n_whole") == 0) & (F.col("n_left") >= KNOWN) & (F.col("n_right") >= KNOWN)
     judged = judged.select("page", "line", "word", "right_whole", "n_word", "n_whole", (soft | ~(own | parts)).alias("joined"))
@@ -292,7 +292,7 @@ def _paragraphs(lines: list[str], joined: dict[int, bool], right: dict[str, str
         elif not current:
             current = line.strip()
         elif joined.get(i - 1) is True:
-            current = re.sub(r"[-‐­¬–=~]$", "", current) + line.strip()
+            current = re.sub(r"[-\u2010\u00ad¬–=~]$", "", current) + line.strip()
         elif joined.get(i - 1) is False:
             current += line.strip()
         elif len(lines[i - 1].rstrip()) < 0.6 * width and current[-1] in ".?!":  # a short last line ends a paragraph

@@ -71,7 +71,7 @@ def depths(text: str, at: list[int], block: int = BLOCK) -> list[float]:
 def _whole(text: str, at: int, low: int) -> int:
     """The last place up to `at` (but after `low`) that does not part a character from its marks."""
     to = at
-    while to > low and (unicodedata.category(text[to])[0] == "M" or text[to] in "‌‍" or text[to - 1] == "‍"):
+    while to > low and (unicodedata.category(text[to])[0] == "M" or text[to] in "\u200c\u200d" or text[to - 1] == "\u200d"):
         to -= 1
     return to if to > low else at
 
