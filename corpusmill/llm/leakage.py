@@ -45,10 +45,10 @@ def words_of(text: str | None) -> list[str]:
     """Words without letter case, punctuation, markup, line-end hyphens and look-alike characters."""
     if not text:
         return []
-    if suspect(text):
-        text = fold(text)
     if "<" in text or "&" in text or "](" in text:
         text = _TAG.sub(_unmark, text)
+    if suspect(text):
+        text = fold(text)
     return _WORD.findall(text.lower())
 
 

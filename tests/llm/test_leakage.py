@@ -43,7 +43,7 @@ def build(spark):
             for _ in range(change):
                 at, kind = r.randrange(1, len(piece) - 1), r.randrange(3)
                 piece[at : at + 1] = [["other"], [], [piece[at], "extra"]][kind]
-            docs.append((n, f"{passage(r, 300)} {' '.join(piece).upper().replace(' ', ', ')} {passage(r, 30)}"))
+            docs.append((n, f"{passage(r, 60)} {' '.join(piece).upper().replace(' ', ', ')} {passage(r, 30)}"))
             n += 1
     docs += [(n, stock), (n + 1, None), (n + 2, ""), (n + 3, items[1][2].replace("a", "а")), (n + 4, f"<b>{items[3][2]}</b>"), (n + 3, items[1][2])]
     return (
