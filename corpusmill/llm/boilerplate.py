@@ -21,23 +21,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import clean_path, site_of
-from .lookalike import fold
+from .lookalike import TABLE, fold
 from .shared import cut
 
 SHARE, LEAST_FILES = 0.1, 4
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 _RUN = re.compile(r"[^\W\d_]+")
 _LATIN = re.compile(r"[A-Za-zÀ-ʯ]")
-_MARKED = re.compile("[ऀ-෿؀-ۿ]")
+_MARKED = re.compile("[\u0300-\u036f\u0600-\u06ff\u0900-\u0dff]")
 
 
 def wording(line: str) -> str:
     """What is left of a line apart from look-alikes, digits, letter case, spacing, punctuation and symbols."""
     if line.isascii():
         return _NOT_LETTER.sub("", line).lower()
-    folded = unicodedata.normalize("NFC", fold(line).lower())
-    if any("Ѐ" <= c <= "ӿ" or "Ͱ" <= c <= "Ͽ" for c in line):  # words of another script keep their own letters
+    folded = fold(line).lower()
+    if any("\u0370" <= c <= "\u052f" and ord(c) not in TABLE for c in line):  # a line that is written in another script
         folded = " ".join(fold(w).lower() if _LATIN.search(w) else fold(w.lower()) for w in line.split())
+    folded = unicodedata.normalize("NFC", folded)
     if _MARKED.search(folded):
         return "".join(c for c in folded if unicodedata.category(c)[0] in "LM")
     return _NOT_LETTER.sub("", folded)

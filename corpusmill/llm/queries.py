@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from . import boilerplate, canonical, encoding, languages, leakage, mixing, scans, splitting
+from .lookalike import TABLE
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -80,7 +81,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _PATH = r"regexp_replace(regexp_replace(trim(source_file), '[\\/]+', '/', 'g'), '^(\./|/)+', '')"
+_ONE = {k: v for k, v in TABLE.items() if v is not None and len(v) == 1}
+_FROM = "".join(map(chr, _ONE)) + "".join(chr(k) for k, v in TABLE.items() if v is None)
+_TO = "".join(_ONE.values())
+
+
+def _look(text: str) -> str:
+    """SQL for the form in which equal means looking the same."""
+    for k, v in TABLE.items():
+        if v is not None and len(v) > 1:
+            text = f"replace({text}, '{chr(k)}', '{v}')"
+    quoted = [x.replace("'", "''") for x in (_FROM, _TO)]
+    once = f"translate({text}, '{quoted[0]}', '{quoted[1]}')"
+    return f"translate(nfc_normalize({once}), '{quoted[0]}', '{quoted[1]}')"
+
 
 ORACLES: dict[str, str] = {
     "p1_found": "SELECT DISTINCT chunk_seq FROM chunks WHERE length(text) > 1600",
+    "p3_found": f"""
+WITH c AS (SELECT chunk_seq, coalesce(heading, '') || chr(1) || coalesce(text, '') AS raw FROM chunks), l AS (SELECT chunk_seq, raw, {_look('raw')} AS look FROM c)
+SELECT a.chunk_seq AS chunk_seq_a, b.chunk_seq AS chunk_seq_b FROM l a JOIN l b USING (look) WHERE a.chunk_seq < b.chunk_seq AND a.raw <> b.raw""",
+    "p4_found": f"""
+WITH f AS (SELECT chunk_seq, {_PATH} AS file, string_split(text, chr(10)) AS x FROM chunks), n AS (SELECT *, regexp_extract(file, '^[^/]*') AS site FROM f),
+lines AS (SELECT chunk_seq, site, file, unnest(x) AS line, generate_subscripts(x, 1) AS line_no FROM n),
+w AS (SELECT chunk_seq, site, file, line_no::INTEGER AS line_no, regexp_replace(lower({_look('line')}), '[^\\p{{L}}\\p{{M}}]', '', 'g') AS wording FROM lines),
+sizes AS (SELECT site, count(DISTINCT file) AS files FROM n GROUP BY site),
+often AS (SELECT site, wording FROM w JOIN sizes USING (site) WHERE wording <> '' GROUP BY site, wording, files HAVING count(DISTINCT file) >= greatest(4, ceil(files * 0.1 - 1e-9)))
+SELECT DISTINCT chunk_seq, line_no FROM w SEMI JOIN often USING (site, wording)""",
 }
