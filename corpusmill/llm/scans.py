@@ -34,10 +34,12 @@ _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
 _TOKEN = re.compile(r"[\w@|!\ufffd]+")
 _COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 _NUMBER = re.compile(r"(?=.*\d)(?=.*[lOSI|o])[\dlOSI|o]+")
+_FIGURE = re.compile(r"\d")
 _ALONE = re.compile(r"[\W_]*(?:(?:page|pg|p)\.?\s*)?(?P<n>[0-9lIOS|]{1,5}|[ivxlc]{1,9})(?:\s*(?:of|/)\s*[0-9lIOS|]{1,5})?[\W_]*", re.I)
 _FIRST = re.compile(r"[\W_]*(?P<n>[0-9lIOS|]{1,5}|[ivxlc]{1,9})[\W_]*\s(?P<rest>.*[^\W\d_].*)")
 _LAST = re.compile(r"(?P<rest>.*[^\W\d_].*?)(?:\s|[|\-–—])[\W_]*(?:(?:page|pg|p)\.?\s*)?(?P<n>[0-9lIOS|]{1,5}|[ivxlc]{1,9})[\W_]*", re.I)
 _END = re.compile(r"(?P<left>[^\W\d_](?:[\w@|!]|-(?=\w))*)(?P<mark>[-\u2010\u00ad¬–=~])\s*$")
+MARKS = frozenset("-\u2010\u00ad¬–=~")
 _NEXT = re.compile(r"\s*(?P<right>[^\W\d_][\w@|!]*)")
 
 
@@ -80,7 +82,7 @@ def edge_lines(text: str | None) -> list[dict]:
             out.append({"line_no": i, "rank": rank, "key": "", "body": False, "number": number(label), "alone": True, "marked": len(label) < len(line) or not any(c.isdigit() for c in label)})
             continue
         found, rest = None, line
-        if len(line) <= 100:
+        if len(line) <= 100 and (_FIGURE.search(line, 0, 12) or _FIGURE.search(line, max(0, len(line) - 12))):
             for pattern in (_FIRST, _LAST):
                 m = pattern.fullmatch(line)
                 if m and any(c.isdigit() for c in m["n"]) and (found := number(m["n"])) is not None:
@@ -137,7 +139,10 @@ def _broken(lines: list[str]) -> list[tuple[int, str, str, str]]:
     """(line, left part, mark, right part) where a line ends inside a word or compound."""
     out = []
     for i in range(len(lines) - 1):
-        m = _END.search(lines[i])
+        end = lines[i].rstrip()
+        if not end or end[-1] not in MARKS:
+            continue
+        m = _END.search(end, max(end.rfind(" "), end.rfind("\t")) + 1)
         if m and (n := _NEXT.match(lines[i + 1])):
             out.append((i, m["left"], m["mark"], n["right"]))
     return out
