@@ -34,6 +34,8 @@ _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
 _TOKEN = re.compile(r"[\w@|!\ufffd]+")
 _COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 _NUMBER = re.compile(r"(?=.*\d)(?=.*[lOSI|o])[\dlOSI|o]+")
+_NUMERAL = re.compile(r"(?=.)c{0,3}(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})")
+_MARKED = re.compile(r"[\[\](){}—–|-]|page|pg|p\.", re.I)
 _FIGURE = re.compile(r"\d")
 _ALONE = re.compile(r"[\W_]*(?:(?:page|pg|p)\.?\s*)?(?P<n>[0-9lIOS|]{1,5}|[ivxlc]{1,9})(?:\s*(?:of|/)\s*[0-9lIOS|]{1,5})?[\W_]*", re.I)
 _FIRST = re.compile(r"[\W_]*(?P<n>[0-9lIOS|]{1,5}|[ivxlc]{1,9})[\W_]*\s(?P<rest>.*[^\W\d_].*)")
@@ -50,13 +52,11 @@ def shape(text: str) -> str:
 
 def number(label: str) -> int | None:
     """The value of a printed page number, Arabic or Roman, misread figures included."""
-    if any(c.isdigit() for c in label):
+    low = label.lower()
+    if any(c.isdigit() for c in label) or not _NUMERAL.fullmatch(low):
         plain = label.translate(FIGURES)
         return int(plain) if plain.isdigit() else None
     total, last = 0, 0
-    low = label.lower()
-    if not low or any(c not in _ROMAN for c in low):
-        return None
     for c in reversed(low):
         v = _ROMAN[c]
         total += v if v >= last else -v
@@ -79,7 +79,9 @@ def edge_lines(text: str | None) -> list[dict]:
         if m:
             label = m["n"]
             # figures by themselves may be a table's; marks around them, or Roman numerals, make a page number likelier
-            out.append({"line_no": i, "rank": rank, "key": "", "body": False, "number": number(label), "alone": True, "marked": len(label) < len(line) or not any(c.isdigit() for c in label)})
+            roman = not any(c.isdigit() for c in label) and _NUMERAL.fullmatch(label.lower()) is not None
+            if _MARKED.search(line) or line[-1] not in ".,;:?!":  # else the end of a sentence
+                out.append({"line_no": i, "rank": rank, "key": "", "body": False, "number": number(label), "alone": True, "marked": roman or _MARKED.search(line) is not None})
             continue
         found, rest = None, line
         if len(line) <= 100 and (_FIGURE.search(line, 0, 12) or _FIGURE.search(line, max(0, len(line) - 12))):
@@ -111,8 +113,8 @@ def furniture(pages: DataFrame) -> DataFrame:
     numbered = lines.where("number IS NOT NULL AND alone").select("page", "file", "page_num", "line_no", "number", "alone", "marked").unionByName(run_lines.where("number IS NOT NULL").select("page", "file", "page_num", "line_no", "number", "alone", "marked"))
     steps = numbered.withColumn("step", F.col("number") - F.col("page_num"))
     support = steps.select("file", "step", "page_num").distinct().groupBy("file", "step").agg(F.count("*").alias("along"))
-    told = steps.join(support, ["file", "step"]).join(size, "file")
-    is_number = (F.col("along") >= 2) | (F.col("alone") & F.col("marked") & (F.col("pages") < 3))
+    told = steps.join(support, ["file", "step"])
+    is_number = (F.col("along") >= 2) | (F.col("alone") & F.col("marked"))
     return (
         run_lines.select("page", "line_no", F.lit("running_line").alias("kind"))
         .unionByName(told.where(is_number).select("page", "line_no", F.lit("page_number").alias("kind")))

@@ -10,7 +10,7 @@ def test_shapes(wrong, right):
     assert scans.shape(wrong) == scans.shape(right)
 
 
-@pytest.mark.parametrize("label, value", [("132", 132), ("l8", 18), ("lO0", 100), ("lviii", 58), ("xiv", 14), ("abc", None), ("", None)])
+@pytest.mark.parametrize("label, value", [("132", 132), ("l8", 18), ("lO0", 100), ("lviii", 58), ("xiv", 14), ("llO", 110), ("ll", 11), ("abc", None), ("", None)])
 def test_numbers(label, value):
     assert scans.number(label) == value
 
