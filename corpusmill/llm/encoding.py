@@ -33,12 +33,15 @@ DOUBLE = ("gbk", "big5", "shift_jis", "euc_kr")
 #: 8-bit text read as another 8-bit encoding: (read as, really).
 PAIRS = (("cp1252", "cp1251"), ("latin-1", "cp1251"), ("cp1251", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp437", "cp1252"), ("cp1252", "koi8-r"), ("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "cp866"))
 GAIN, LOST_GAIN, LONG_PENALTY, RARE_PENALTY, DEPTH, ROUNDS, SMOOTHING = 5.0, 3.0, 0.5, 6.0, 3, 4, 5.0
+#: Least weight of a chain.
+FLOOR = 1e-6
 #: Most characters that count as usual in the corpus, and their least part of all characters beyond ASCII.
 USUAL, USUAL_PART = 5_000, 2e-5
 
 _TOKEN = re.compile(r"[^ \n\t\r]+")
 _ENTITY = re.compile(r"&(?:#\d{2,7}|#x[0-9A-Fa-f]{2,6}|[A-Za-z][A-Za-z0-9]{1,7});")
-_EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
+_EDGE = re.compile(r"^[!-/:-@\[-`{-~“”‘’«»¿¡।]+|[!-/:-@\[-`{-~“”‘’«»।]+$")
+_DIGITS = re.compile("[0-9]+")
 LOST = "\ufffd"
 SELF = "as is"
 
@@ -141,8 +144,8 @@ def suspicious(token: str) -> bool:
 
 
 def core(word: str) -> str:
-    """A word without figures and punctuation at its ends, lower case; the word itself where nothing is left."""
-    return _EDGE.sub("", word).lower() or word
+    """A word without punctuation at its ends, in lower case, any figures written as 0; the word itself where nothing is left."""
+    return _DIGITS.sub("0", _EDGE.sub("", word).lower()) or word
 
 
 def losses(word: str) -> set[str]:
@@ -163,35 +166,41 @@ def with_digits(form: str, word: str) -> str | None:
     return re.sub("0", lambda _: digits.pop(0), form) if form.count("0") == len(digits) else None
 
 
-def evidence(df: DataFrame, key: str = "page_id", text: str = "text", source: str = "source_rel") -> DataFrame:
-    """(source, word, n, options): each suspicious word of a source with its readings, counted inside the tasks first."""
+def suspicious_words(df: DataFrame, text: str = "text", source: str = "source_rel") -> DataFrame:
+    """(source, word, n): the suspicious words of each source, counted inside the tasks before the shuffle."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, list] = {}
         for batch in batches:
             words: Counter = Counter()
             for s, t in zip(batch["source"], batch["text"]):
                 if t and (not t.isascii() or "&" in t):
                     words.update((s, w) for w in _TOKEN.findall(t) if suspicious(w))
-            if len(known) > 200_000:
-                known.clear()
-            rows = []
-            for (s, w), n in words.items():
-                options = known.get(w)
-                if options is None:
-                    options = known[w] = [{"chain": c, "reading": r, "gain": g, "core": core(r)} for c, r, g in readings(w)]
-                rows.append((s, w, n, options))
-            yield pd.DataFrame(rows, columns=["source", "word", "n", "options"])
+            yield pd.DataFrame([(s, w, n) for (s, w), n in words.items()], columns=["source", "word", "n"])
 
     slim = df.select(F.col(source).cast("string").alias("source"), F.col(text).alias("text"))
-    seen = slim.mapInPandas(scan, "source string, word string, n long, options array<struct<chain:string,reading:string,gain:double,core:string>>")
-    return seen.groupBy("source", "word").agg(F.sum("n").alias("n"), F.first("options").alias("options"))
+    return slim.mapInPandas(scan, "source string, word string, n long").groupBy("source", "word").agg(F.sum("n").alias("n"))
 
 
-def decide(df: DataFrame, key: str = "page_id", text: str = "text", source: str = "source_rel", rounds: int = ROUNDS) -> DataFrame:
-    """(source, word, chain, reading, posterior): the reading of highest posterior of every word that has several."""
-    seen = cut(evidence(df, key, text, source), "evidence")
-    strict = seen.where(~F.exists("options", lambda o: o["gain"] > 0) & ~F.col("word").contains(LOST))
+def with_options(words: DataFrame) -> DataFrame:
+    """(word, sources, n, options): each distinct word with its readings."""
+
+    @F.pandas_udf("array<struct<chain:string,reading:string,gain:double,core:string>>")
+    def options(batch: pd.Series) -> pd.Series:
+        return pd.Series([[{"chain": c, "reading": r, "gain": g, "core": core(r)} for c, r, g in readings(w)] for w in batch])
+
+    return words.withColumn("options", options("word"))
+
+
+def decide(df: DataFrame, text: str = "text", source: str = "source_rel", rounds: int = ROUNDS) -> DataFrame:
+    """(source, word, chain, reading, posterior): the reading of highest posterior of every word that has several.
+
+    What a word may be read as does not depend on its source, so readings and their fit are worked out once for each
+    distinct word; only the weights of the chains are learned for each source.
+    """
+    seen = cut(suspicious_words(df, text, source), "words")
+    spread_of = seen.groupBy("word").agg(F.count("*").alias("sources"), F.sum("n").alias("n"))
+    words = cut(with_options(spread_of), "options")
+    strict = words.where(~F.exists("options", lambda o: o["gain"] > 0) & ~F.col("word").contains(LOST))
     chars = strict.select(F.explode(F.split("word", "")).alias("c"), "n").where(F.ascii("c") > 127).groupBy("c").agg(F.sum("n").alias("n"))
     whole = chars.agg(F.sum("n")).first()[0] or 0
     usual = "".join(r["c"] for r in chars.where(F.col("n") >= USUAL_PART * whole).orderBy(F.desc("n"), "c").limit(USUAL).collect()) or " "
@@ -200,38 +209,43 @@ def decide(df: DataFrame, key: str = "page_id", text: str = "text", source: str
         return F.length(F.translate(F.regexp_replace(reading, r"[\x00-\x7f]", ""), usual, ""))
 
     # a word that no wrong decoding of UTF-8 explains in usual characters may be clean: how many sources have it tells
-    clean = seen.where(~F.exists("options", lambda o: (o["gain"] > 0) & (rare(o["reading"]) == 0))).select("source", "word", F.element_at("options", 1)["core"].alias("core"), "n")
-    clean = cut(clean, "clean")
-    spread = clean.groupBy("core").agg(F.countDistinct("source").alias("seen"))
+    clean = cut(words.where(~F.exists("options", lambda o: (o["gain"] > 0) & (rare(o["reading"]) == 0))).select("word", "sources", F.element_at("options", 1)["core"].alias("core")), "clean")
+    spread = clean.groupBy("core").agg(F.sum("sources").alias("seen"))
 
-    options = seen.where(F.size("options") > 1).select("source", "word", "n", F.explode("options").alias("o")).select("source", "word", "n", "o.*")
-    rated = options.unionByName(_lossy(seen, clean)).join(spread, "core", "left")
+    options = words.where(F.size("options") > 1).select("word", F.explode("options").alias("o")).select("word", "o.*")
+    rated = options.unionByName(_lossy(words, clean)).join(spread, "core", "left")
     fit = F.col("gain") + 2 * F.log(F.coalesce(F.col("seen"), F.lit(0)) + F.lit(0.5)) - RARE_PENALTY * rare(F.col("reading")) - F.greatest(F.regexp_count("reading", F.lit("[À-ÿ](?=[À-ÿ])")) - 1, F.lit(0))
-    rated = rated.groupBy("source", "word", "reading").agg(F.max("n").alias("n"), F.max_by("chain", fit).alias("chain"), F.max(fit).alias("fit"))
-    rated = cut(rated, "readings")
+    rated = rated.groupBy("word", "reading").agg(F.max_by("chain", fit).alias("chain"), F.max(fit).alias("fit"))
+    # no weight can make up for a fit this far below the best one; words with one reading left are only counted
+    each = Window.partitionBy("word")
+    rated = rated.withColumn("top", F.max("fit").over(each)).where(F.col("fit") >= F.col("top") + F.log(F.lit(FLOOR))).withColumn("left", F.count("*").over(each))
+    joined = cut(seen.join(rated.drop("top"), "word"), "readings")
+    sure, rated = joined.where("left = 1"), joined.where("left > 1")
+    held = cut(sure.groupBy("source", "chain").agg(F.sum("n").cast("double").alias("mass")), "sure")
     own = Window.partitionBy("source", "word")
     weights = None
     for _ in range(rounds):
         if weights is None:
             now = rated.withColumn("prior", F.when(F.col("chain") == SELF, 0.5).otherwise(0.1))
         else:
-            now = rated.join(weights[0], ["source", "chain"], "left").join(F.broadcast(weights[1]), "chain", "left").withColumn("prior", F.coalesce("own_prior", "base_prior", F.lit(1e-6)))
-        score = F.col("fit") + F.log(F.greatest("prior", F.lit(1e-9)))
+            now = rated.join(weights[0], ["source", "chain"], "left").join(F.broadcast(weights[1]), "chain", "left").withColumn("prior", F.coalesce("own_prior", "base_prior", F.lit(FLOOR)))
+        score = F.col("fit") + F.log(F.greatest("prior", F.lit(FLOOR)))
         best = now.withColumn("score", score).withColumn("top", F.max("score").over(own))
         post = best.withColumn("p", F.exp(F.col("score") - F.col("top")))
         post = post.withColumn("posterior", F.col("p") / F.sum("p").over(own))
-        base = post.groupBy("chain").agg(F.sum(F.col("n") * F.col("posterior")).alias("mass"))
+        mass = post.groupBy("source", "chain").agg(F.sum(F.col("n") * F.col("posterior")).alias("mass")).unionByName(held)
+        mass = cut(mass.groupBy("source", "chain").agg(F.sum("mass").alias("mass")), "mass")
+        base = mass.groupBy("chain").agg(F.sum("mass").alias("mass"))
         base = base.crossJoin(F.broadcast(base.agg(F.sum("mass").alias("all")))).select("chain", ((F.col("mass") + 0.01) / (F.col("all") + 1)).alias("base_prior"))  # one row a chain
-        mass = post.groupBy("source", "chain").agg(F.sum(F.col("n") * F.col("posterior")).alias("mass"))
         total = mass.groupBy("source").agg(F.sum("mass").alias("total"))
         base = cut(base, "chains")
         source_weights = mass.join(total, "source").join(F.broadcast(base), "chain").select("source", "chain", ((F.col("mass") + SMOOTHING * F.col("base_prior")) / (F.col("total") + SMOOTHING)).alias("own_prior"))
         weights = (cut(source_weights, "weights"), base)
     top = post.groupBy("source", "word").agg(F.max_by(F.struct("chain", "reading", "posterior"), F.struct("posterior", "chain")).alias("o"))
-    return top.select("source", "word", "o.*")
+    return top.select("source", "word", "o.*").unionByName(sure.select("source", "word", "chain", "reading", F.lit(1.0).alias("posterior")))
 
 
-def _lossy(seen: DataFrame, clean: DataFrame) -> DataFrame:
+def _lossy(words: DataFrame, clean: DataFrame) -> DataFrame:
     """Readings of words in which characters may be lost: words of the corpus that the same loss makes equal to them."""
     zeros = F.regexp_replace("word", "[0-9]", "0")
 
@@ -247,12 +261,12 @@ def _lossy(seen: DataFrame, clean: DataFrame) -> DataFrame:
     def cores(words: pd.Series) -> pd.Series:
         return words.map(core)
 
-    forms = clean.where(~F.col("word").contains(LOST) & ~F.col("word").contains("&")).select(zeros.alias("form"), "source").groupBy("form").agg(F.countDistinct("source").alias("df"))
+    forms = clean.where(~F.col("word").contains(LOST) & ~F.col("word").contains("&")).groupBy(zeros.alias("form")).agg(F.sum("sources").alias("df"))
     keys = forms.select("form", "df", F.explode(lost("form")).alias("zeros")).groupBy("zeros").agg(F.max_by("form", F.struct("df", "form")).alias("form"))
-    torn = seen.select("source", "word", "n", zeros.alias("zeros"), F.element_at("options", 1)["core"].alias("own"))
+    torn = words.select("word", zeros.alias("zeros"), F.element_at("options", 1)["core"].alias("own"))
     told = torn.join(keys, "zeros").withColumn("reading", fill("form", "word")).where("reading IS NOT NULL AND reading <> word").withColumn("core", cores("reading"))
-    names = ["source", "word", "n", "chain", "reading", "gain", "core"]
-    itself = told.select("source", "word", "n", F.lit(SELF).alias("chain"), F.col("word").alias("reading"), F.lit(0.0).alias("gain"), F.col("own").alias("core"))
+    names = ["word", "chain", "reading", "gain", "core"]
+    itself = told.select("word", F.lit(SELF).alias("chain"), F.col("word").alias("reading"), F.lit(0.0).alias("gain"), F.col("own").alias("core"))
     return told.withColumns({"chain": F.lit("lost characters"), "gain": F.lit(LOST_GAIN)}).select(names).unionByName(itself)
 
 
@@ -263,7 +277,7 @@ def repaired(df: DataFrame, key: str = "page_id", text: str = "text", source: st
     no other word of the corpus tells what they were; chains names the decodings undone. Null stays null, a record
     without a case keeps its text, a null source is a source of its own, and repeated records are repaired alike.
     """
-    decisions = decide(df, key, text, source, rounds).where(F.col("chain") != SELF).select("source", "word", "chain", "reading")
+    decisions = decide(df, text, source, rounds).where(F.col("chain") != SELF).select("source", "word", "chain", "reading")
     slim = df.select(F.col(key).alias("_key"), F.col(source).cast("string").alias("source"), F.col(text).alias("_text"))
     odd = F.coalesce(F.col("_text").rlike(r"[^\x00-\x7f]|&[#A-Za-z]"), F.lit(False))
 
