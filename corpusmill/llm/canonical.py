@@ -224,21 +224,22 @@ def canonical_texts(df: DataFrame, key: str = "chunk_seq", text: str = "text", h
 def alike_pairs(df: DataFrame, key: str = "chunk_seq", text: str = "text", heading: str = "heading") -> DataFrame:
     """(key_a, key_b), a < b: pairs of rows that look the same in print but differ in at least one character.
 
-    Null counts as the empty text. Only groups that hold two different writings are joined, and rows with the same
-    writing never pair. Empty input gives no rows.
+    Null counts as the empty text. Only groups that hold two different writings are joined. Empty input gives no rows.
     """
     raw = df.select(F.col(key).alias("_id"), F.sha1(_both(F.col(heading), F.col(text))).alias("writing"))
     new = cut(canonical_texts(df, key, text, heading).select(F.col(key).alias("_id"), "changed", F.xxhash64(_both(F.col("heading"), F.col("text"))).alias("look"), F.sha1(_both(F.col("heading"), F.col("text"))).alias("print")), "looks")
     # a group with two writings holds at least one changed row
     odd = new.where("changed").select("look").distinct()
     members = new.join(odd, "look", "left_semi").join(raw, "_id").select("_id", "print", "writing")
-    a, b = members.alias("a"), members.alias("b")
-    return (
-        a.join(b, F.col("a.print") == F.col("b.print"))
-        .where((F.col("a._id") < F.col("b._id")) & (F.col("a.writing") != F.col("b.writing")))
-        .select(F.col("a._id").alias(f"{key}_a"), F.col("b._id").alias(f"{key}_b"))
-        .distinct()
-    )
+    members = cut(members, "members")
+    # writings are paired, not rows: copies of one writing, however many, never meet each other
+    writings = members.select("print", "writing").distinct()
+    other = writings.select("print", F.col("writing").alias("writing_b"))
+    pairs = writings.join(other, "print").where("writing <> writing_b")
+    a = members.select("print", "writing", F.col("_id").alias(f"{key}_a"))
+    b = members.select("print", F.col("writing").alias("writing_b"), F.col("_id").alias(f"{key}_b"))
+    both = a.join(pairs, ["print", "writing"]).join(b, ["print", "writing_b"])
+    return both.where(F.col(f"{key}_a") < F.col(f"{key}_b")).select(f"{key}_a", f"{key}_b").distinct()
 
 
 def _both(heading: Column, text: Column) -> Column:
