@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import cut, slices
+
 #: Bytes of a window; filter widths (even, made of byte pairs); filters of each width; sizes of the embedding.
 WINDOW, WIDTHS, FILTERS, EMBED = 96, (2, 4, 6), 16, 8
 #: Labelled documents the training takes at most of each language, windows at most of each of them, and passes.
@@ -243,8 +245,7 @@ def segments(documents: DataFrame, net: ByteNet | None, key: str = "doc_id", tex
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
-            for at in range(0, len(whole), 500):  # bounded arrays, whatever the batch
-                batch = whole.iloc[at : at + 500]
+            for batch in slices(whole, text, 1_000_000):  # bounded arrays, whatever the batch
                 yield pd.DataFrame({key: batch[key].to_numpy(), "segments": _segments(sent.value, batch[text].tolist())})
 
     return documents.select(key, text).mapInPandas(find, schema)
@@ -297,8 +298,6 @@ def mislabelled(documents: DataFrame, lang_codes: DataFrame, net: ByteNet | None
     holds several languages; one row for each language of the text. Labels that spell the right language in another way
     are right. Repeated ids are told apart by their text.
     """
-    from .shared import cut
-
     net = net or train(documents, lang_codes, **training)
     codes = code_table(lang_codes)
     rows = documents.select("doc_id", "text", label_code(F.col("lang"), codes).alias("label"))

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .lookalike import fold, suspect
+from .shared import slices
 
 SHINGLE, SPAN, EDITS = 5, 15, 8
 #: Upper sizes, in shingles, of the size classes of blocks.
@@ -261,7 +262,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, block_rows: int = BLOCK
 def _search(index):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         look, cache = index.value, {}
-        for batch in (whole.iloc[at : at + 1000] for whole in batches for at in range(0, len(whole), 1000)):  # bounded lists of words
+        for batch in (part for whole in batches for part in slices(whole, "text")):  # bounded lists of words
             ids, texts = batch["doc_id"].tolist(), batch["text"].tolist()
             plain = [words_of(t) for t in texts]
             joined = [words_of(_HYPHEN.sub("", t)) if t and "\n" in t and _HYPHEN.search(t) else None for t in texts]

@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,3 +32,17 @@ def _write(df: DataFrame, base: str, name: str) -> str:
     path = os.path.join(base, f"corpusmill-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return path
+
+
+def slices(batch: pd.DataFrame, text: str, characters: int = 2_000_000) -> Iterator[pd.DataFrame]:
+    """A batch in parts of about so many characters, so that what is held at once does not depend on the rows' lengths;
+    a longer text is a part by itself."""
+    begin, held = 0, 0
+    for i, t in enumerate(batch[text]):
+        n = len(t) if t else 0
+        if i > begin and held + n > characters:
+            yield batch.iloc[begin:i]
+            begin, held = i, 0
+        held += n
+    if begin < len(batch):
+        yield batch.iloc[begin:]
