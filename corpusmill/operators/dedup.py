@@ -60,3 +60,8 @@ def chunk_stats(won: DataFrame, chunks: DataFrame, links: DataFrame) -> DataFram
         F.count("*").alias("total_chunks"), F.max("size").cast("long").alias("max_chars"), F.count("linked_source").alias("linked_chunks"),
         F.countDistinct(F.when(F.col("linked_source").isNotNull(), F.col("source_file"))).alias("linked_files"),
     ).crossJoin(won.agg(F.count("*").alias("raw_chunks")))  # one row each
+
+
+def store_order(chunks: DataFrame) -> DataFrame:
+    """The order of the chunk store: file, page (null as 0), chunk_id as a string."""
+    return chunks.orderBy("source_file", F.coalesce("page_start", F.lit(0)), "chunk_id")

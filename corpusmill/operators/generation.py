@@ -59,3 +59,46 @@ def evaluation_rates(records: DataFrame, by: str) -> DataFrame:
         F.count("*").alias("n"), rate("correct").alias("correct_rate"), rate("grounded").alias("grounded_rate"), rate("distinct_options").alias("distinct_rate"),
         F.round(F.coalesce(F.avg("lexical"), F.lit(0.0)), 4).alias("avg_lexical"),
     )
+
+
+SYSTEM = "Write multiple-choice questions out of the excerpts alone. Answer with JSON: questions, each with question, four options, correct_answer, shortcut_used."
+JUDGE = "Judge one question against its excerpts. Answer with JSON: answer_correct, shortcut_grounded, confidence, notes."
+VERDICT = "answer_correct boolean, shortcut_grounded boolean, confidence double, notes string"
+
+
+def check_request(topic: str, n: int = 3, k: int = 6) -> None:
+    """Refuse a request beyond its bounds."""
+    if not 2 <= len(topic.strip()) <= 200:
+        raise ValueError("topic must have 2 to 200 characters")
+    if not 1 <= n <= 8:
+        raise ValueError("n must be 1 to 8")
+    if not 2 <= k <= 12:
+        raise ValueError("k must be 2 to 12")
+
+
+def quizzes(contexts: DataFrame, call: Callable[[str], str], topic: str = "topic", context: str = "context", n: int = 3) -> DataFrame:
+    """contexts with quiz, valid and error: one request for each context; an empty one is an error without a request."""
+    prompt = F.format_string(f"{SYSTEM}\n\nTopic: %s\nQuestions: {n}\n\nExcerpts:\n%s", topic, context)
+    empty = F.coalesce(F.trim(F.col(context)) == "", F.lit(True))
+    replied = ask(contexts.where(~empty).withColumn("prompt", prompt), call)
+    told = replied.withColumn("quiz", F.from_json(recovered_json(F.col("reply")), QUIZ)).withColumn("valid", valid_quiz(F.col("quiz")))
+    told = told.withColumn("error", F.coalesce("error", F.when(~F.col("valid"), "the reply is no valid quiz"))).drop("prompt", "reply")
+    none = contexts.where(empty).select("*", F.lit("nothing was found").alias("error"), F.lit(None).cast(QUIZ).alias("quiz"), F.lit(False).alias("valid"))
+    return told.unionByName(none)
+
+
+def judged(generated: DataFrame, call: Callable[[str], str], context: str = "context") -> DataFrame:
+    """One row for each question of the valid quizzes, with its lexical score, the judge's verdict (null where the judge
+    failed) and `ok`: judged right and grounded."""
+    from ..functions.text import grounding
+
+    each = generated.where("valid").select(*[c for c in generated.columns if c not in ("quiz", "valid", "error")], F.explode("quiz.questions").alias("q"))
+    rated = each.withColumns({"distinct_options": distinct_options(F.col("q.options")), "lexical": F.bround(grounding(F.col("q.shortcut_used"), F.col(context)), 2), "question": F.to_json("q")}).drop("q")
+    asked = ask(rated.withColumn("prompt", F.concat(F.lit(JUDGE + "\n\nQuestion: "), F.col("question"), F.lit("\n\nExcerpts:\n"), F.col(context))), call)
+    verdict = asked.withColumn("judge", F.from_json(recovered_json(F.col("reply")), VERDICT)).drop("prompt", "reply")
+    return verdict.withColumn("ok", F.coalesce(F.col("judge.answer_correct") & F.col("judge.shortcut_grounded"), F.lit(False)))
+
+
+def graded(answers: DataFrame, chosen: str = "chosen", right: str = "correct_answer") -> DataFrame:
+    """Answers with whether the chosen option is the right one."""
+    return answers.withColumn("is_right", F.coalesce(F.col(chosen) == F.col(right), F.lit(False)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,3 +54,36 @@ def ocr_budget(pages: DataFrame, file: str, page: str, key: str, text: str = "te
 def better_text(native: Column, ocr: Column) -> Column:
     """The OCR text only where it is strictly longer once stripped."""
     return F.when(F.length(X.strip(F.coalesce(ocr, F.lit("")))) > F.length(X.strip(F.coalesce(native, F.lit("")))), ocr).otherwise(native)
+
+
+def ocr_fallback(pages: DataFrame, read: Callable[[str, int], str], file: str = "source_rel", page: str = "page_num", text: str = "text", most: int = OCR_PAGES) -> DataFrame:
+    """Pages whose text is not clean, read again by `read(file, page)` within each file's budget.
+
+    The reading is taken where it is longer; such a page has method ocr and neither spans nor tables. Pages beyond the
+    budget, and those whose reading fails, keep their text and say so in `note`. The budget counts pages in their order,
+    failed readings too. Only pages that are to be read reach the reader.
+    """
+    bad = page_quality(pages, text).withColumn("_bad", F.col("verdict") != "CLEAN")
+    ranked = bad.withColumn("_rank", F.when(F.col("_bad"), F.sum(F.col("_bad").cast("int")).over(Window.partitionBy(file).orderBy(page).rowsBetween(Window.unboundedPreceding, 0))))
+
+    @F.pandas_udf("text string, error string")
+    def reread(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for files, numbers in batches:
+            out = []
+            for f, n in zip(files, numbers):
+                try:
+                    out.append((read(f, int(n)), None))
+                except Exception as e:  # noqa: BLE001  a page that cannot be read keeps its text
+                    out.append((None, f"page {n}: ocr failed: {e}"))
+            yield pd.DataFrame(out, columns=["text", "error"])
+
+    asked = ranked.where(F.col("_rank") <= most).withColumn("_new", reread(F.col(file), F.col(page)))
+    longer = F.length(X.strip(F.coalesce(F.col("_new.text"), F.lit("")))) > F.length(X.strip(F.coalesce(F.col(text), F.lit(""))))
+    kinds = pages.schema
+    read_again = asked.select(
+        *[F.when(longer, F.array().cast(kinds[c].dataType)).otherwise(F.col(c)).alias(c) if c in ("spans", "tables") else F.when(longer, "ocr").otherwise(F.col(c)).alias(c) if c == "method"
+          else better_text(F.col(text), F.col("_new.text")).alias(c) if c == text else F.col(c) for c in pages.columns],
+        F.col("_new.error").alias("note"),
+    )
+    others = ranked.where("_rank IS NULL OR _rank > " + str(int(most)))
+    return read_again.unionByName(others.select(*pages.columns, F.when(F.col("_rank").isNotNull(), F.lit("ocr budget used up")).alias("note")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import suffix
@@ -45,3 +45,10 @@ def latest_log(log: DataFrame, path: str = "path") -> DataFrame:
     """The last row of each file in an append-only log with retries and repeated rows."""
     last = F.struct(F.coalesce(F.col("logged_at"), F.lit("1970-01-01").cast("timestamp")).alias("at"), "log_id")
     return log.groupBy(path).agg(F.max_by(F.struct("log_id", "status", "n_pages", "error", "elapsed_s", F.coalesce(F.size("extract_errors"), F.lit(0)).alias("n_errors")), last).alias("l"), F.count("*").alias("tries")).select(path, "tries", "l.*")
+
+
+def observed(rows: DataFrame, status: str = "status") -> tuple[DataFrame, Observation]:
+    """`rows` with counters of its good and failed rows, filled as whatever reads it runs; no job of its own."""
+    counters = Observation()
+    failed = F.coalesce(F.col(status) != "ok", F.lit(True))
+    return rows.observe(counters, F.count(F.lit(1)).alias("rows"), F.count_if(failed).alias("failed")), counters

@@ -144,6 +144,13 @@ def archive_census(spark: SparkSession, root: str) -> DataFrame:
     return found.mapInPandas(read, "archive string, ext string, files long, error string")
 
 
+def extractions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(pages, broken): cached extractions, one JSON document a file; documents that do not parse are counted apart."""
+    raw = spark.read.schema(schemas.EXTRACTION + ", _broken string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").json(path)
+    good = raw.where("_broken IS NULL").select("source_rel", "doc_type", F.inline("pages"))
+    return good, raw.where("_broken IS NOT NULL").select("source_rel", "_broken")
+
+
 def chunk_store(spark: SparkSession, path: str) -> DataFrame:
     """Chunks from JSON lines; blank lines are skipped."""
     return spark.read.schema(schemas.CHUNK).json(path)

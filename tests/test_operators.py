@@ -244,3 +244,51 @@ def test_hit_rates(spark, ks):
     hits = spark.createDataFrame([("1", "A", 1, False, True), ("1", "A", 2, True, True), ("2", "B", 1, False, False)], "query_id string, section string, rank int, content_hit boolean, source_hit boolean")
     got = {(r["section"], r["k"]): (r["n"], r["content_hits"], r["source_hits"]) for r in retrieval.hit_rates(hits, "section", ks).collect()}
     assert got[("all", ks[-1])] == (2, 1, 1) and got[("A", ks[0])] == (1, int(ks[0] >= 2), 1)
+
+
+def test_ocr_fallback(spark):
+    def read(file: str, page: int) -> str:
+        if page == 2:
+            raise RuntimeError("no scan")
+        return "r" * 60
+
+    df = pages(spark, [("f", "pdf", 1, "", "pymupdf", [span("x")], [[["a"]]]), ("f", "pdf", 2, "", "pymupdf", [], []), ("f", "pdf", 3, "y" * 80, "pymupdf", [], []), ("f", "pdf", 4, None, "pymupdf", [], [])])
+    got = {r["page_num"]: r for r in quality.ocr_fallback(df, read, most=2).collect()}
+    assert got[1]["text"] == "r" * 60 and got[1]["method"] == "ocr" and got[1]["spans"] == [] and got[1]["tables"] == []
+    assert got[2]["text"] == "" and "no scan" in got[2]["note"] and got[3]["note"] is None and got[4]["text"] is None and "budget" in got[4]["note"]
+
+
+def test_extraction_cache(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"path": "/x", "source_rel": "a.pdf", "doc_type": "pdf", "pages": [{"page_num": 1, "text": "t", "method": "pymupdf", "spans": [], "tables": []}], "errors": []}) + "\n{broken\n")
+    good, broken = files.extractions(spark, str(tmp_path))
+    assert [(r["source_rel"], r["page_num"], r["text"]) for r in good.collect()] == [("a.pdf", 1, "t")] and len(broken.collect()) == 1
+
+
+def test_generation_and_judging(spark):
+    quiz = {"questions": [{"question": "How many ways?", "options": list("abcd"), "correct_answer": "a", "shortcut_used": "alligation rule"}]}
+
+    def call(prompt: str) -> str:
+        if "Judge" in prompt:
+            return 'So: {"answer_correct": true, "shortcut_grounded": true, "confidence": 0.9, "notes": ""}'
+        if "broken" in prompt:
+            raise TimeoutError("late")
+        return json.dumps(quiz)
+
+    df = spark.createDataFrame([("one", "the alligation rule"), ("broken", "text"), ("none", "")], "topic string, context string")
+    made = generation.quizzes(df, call)
+    assert {r["topic"]: (r["valid"], r["error"]) for r in made.collect()} == {"one": (True, None), "broken": (False, "TimeoutError: late"), "none": (False, "nothing was found")}
+    told = generation.judged(made, call).collect()
+    assert [(r["topic"], r["ok"], r["lexical"], r["distinct_options"]) for r in told] == [("one", True, 1.0, True)]
+    answers = spark.createDataFrame([("a", "a"), ("b", "a"), (None, "a")], "chosen string, correct_answer string")
+    assert sorted(r["is_right"] for r in generation.graded(answers).collect()) == [False, False, True]
+    for bad in (("x", 3, 6), ("topic", 9, 6), ("topic", 3, 13)):
+        with pytest.raises(ValueError):
+            generation.check_request(*bad)
+
+
+def test_store_order_and_counters(spark):
+    df = spark.createDataFrame([("f", 1, "d::text::2", "ok"), ("f", 1, "d::text::10", "ok"), ("e", None, "x", "error"), ("f", None, "d::text::1", None)], "source_file string, page_start int, chunk_id string, status string")
+    assert [r["chunk_id"] for r in dedup.store_order(df).collect()] == ["x", "d::text::1", "d::text::10", "d::text::2"]
+    rows_, counters = survey.observed(df)
+    rows_.count()
+    assert counters.get == {"rows": 4, "failed": 2}
