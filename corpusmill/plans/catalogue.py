@@ -328,7 +328,40 @@ def heading_by_page(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc", F.col("page").cast("long").alias("page"), "heading")
 
 
-@query()
+def _pack_sql(units: str, joint: str, oversize: Callable[[str], str], v: str, cap: int = 1600) -> str:
+    """Greedy packing as SQL: pieces are parted by chr(2), what an oversize unit became ends with chr(3)."""
+    coded = f"list_transform({units}, lambda {v}: CASE WHEN length({v}) > {cap} THEN {oversize(v)} || chr(3) ELSE {v} END)"
+    a, b = f"x{v}", f"y{v}"
+    apart = f"right({b}, 1) = chr(3) OR right({a}, 1) = chr(3) OR length(regexp_extract({a}, '[^\\x02]*$')) + length({b}) + 1 > {cap}"
+    return f"coalesce(list_reduce(list_prepend('', {coded}), lambda {a}, {b}: CASE WHEN {a} = '' THEN {b} WHEN {apart} THEN {a} || chr(2) || {b} ELSE {a} || {joint} || {b} END), '')"
+
+
+def _slices_sql(w: str) -> str:
+    return f"array_to_string(list_transform(generate_series(0, (length({w}) - 1) // 1600), lambda i: substring({w}, (i * 1600 + 1)::BIGINT, 1600)), chr(2))"
+
+
+def _words_sql(t: str) -> str:
+    return _pack_sql(f"list_filter(string_split({t}, ' '), lambda f: f <> '')", "' '", _slices_sql, "w")
+
+
+def _sentences_sql(t: str) -> str:
+    return _pack_sql(f"list_filter(string_split(regexp_replace({t}, '([.?!])[{WHITE}]+', '\\1' || chr(1), 'g'), chr(1)), lambda f: f <> '')", "' '", _words_sql, "s")
+
+
+def _paragraphs_sql(t: str) -> str:
+    units = f"list_filter(list_transform(string_split(regexp_replace({t}, '\\n[{WHITE}]*\\n', chr(4), 'g'), chr(4)), lambda f: {STRIP % 'f'}), lambda f: f <> '')"
+    return _pack_sql(units, "chr(10)", _sentences_sql, "p")
+
+
+def _unpacked(rows: str, keys: str) -> str:
+    """One row for each piece out of (keys, packed)."""
+    return f"SELECT {keys}, (generate_subscripts(x, 1) - 1)::INTEGER AS piece_no, unnest(x) AS text FROM (SELECT {keys}, list_filter(string_split(replace(packed, chr(3), ''), chr(2)), lambda f: f <> '') AS x FROM ({rows}))"
+
+
+PIECES = _unpacked(f"SELECT doc_id, {_paragraphs_sql('text')} AS packed FROM documents", "doc_id")
+
+
+@query(f"SELECT *, length(text)::INTEGER AS char_count FROM ({PIECES})")
 def packed_pieces(spark: SparkSession, d: str) -> DataFrame:
     """Paragraph and sentence packing under the cap."""
     return table(spark, d, "documents").select("doc_id", F.posexplode(pieces(F.col("text"))).alias("piece_no", "text")).withColumn("char_count", F.length("text"))
@@ -346,13 +379,30 @@ def plausible_tables(spark: SparkSession, d: str) -> DataFrame:
     return _cells(spark, d).select("chunk_seq", F.size("t").cast("long").alias("n_rows"), chunking.plausible_table(F.col("t")).alias("plausible"))
 
 
-@query()
+ROW_TEXTS = f"SELECT chunk_seq, list_transform(t, lambda r: array_to_string(list_transform(r, lambda c: {STRIP % 'c'}), ' | ')) AS r FROM ({CELLS}) WHERE len(t) >= 2 AND len(t[1]) >= 2 AND len(list_filter(flatten(t), lambda c: length(c) > 400)) = 0"
+PACKED_TABLES = f"""
+SELECT chunk_seq, CASE WHEN list_sum(list_transform(r, lambda x: length(x) + 1)) <= 1600 THEN array_to_string(r, chr(10))
+  ELSE list_reduce(list_prepend(r[1], r[2:]), lambda a, b: CASE WHEN a <> r[1] AND right(a, length(r[1]) + 1) <> chr(2) || r[1] AND length(regexp_extract(a, '[^\\x02]*$')) + length(b) + 1 > 1600 THEN a || chr(2) || r[1] || chr(10) || b ELSE a || chr(10) || b END) END AS packed
+FROM ({ROW_TEXTS})"""
+
+
+@query(f"SELECT chunk_seq, piece_no AS part, text FROM ({_unpacked(PACKED_TABLES, 'chunk_seq')})")
 def table_pieces_packed(spark: SparkSession, d: str) -> DataFrame:
     rows = _cells(spark, d).where(chunking.plausible_table(F.col("t"))).withColumn("rows", F.transform("t", chunking.row_text))
     return rows.select("chunk_seq", F.posexplode(table_pieces(F.col("rows"))).alias("part", "text"))
 
 
-@query()
+PAGE_LINES = f"""
+SELECT source_rel, doc_type, list(l ORDER BY page_num, pos) AS units, min(page_num) AS page_start, max(page_num) AS page_end FROM (
+  SELECT source_rel, doc_type, page_num, unnest(x) AS l, generate_subscripts(x, 1) AS pos FROM (
+    SELECT source_rel, max(doc_type) OVER (PARTITION BY source_rel) AS doc_type, page_num, list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '{X.LINE_END}', chr(10), 'g'), chr(10)), lambda f: {STRIP % 'f'}), lambda f: f <> '') AS x
+    FROM page_extracts QUALIFY row_number() OVER (PARTITION BY source_rel, page_num ORDER BY page_id) = 1)) GROUP BY source_rel, doc_type"""
+PAGE_PIECES = _unpacked(f"SELECT source_rel, doc_type, page_start, page_end, {_pack_sql('units', 'chr(10)', _sentences_sql, 'p')} AS packed FROM ({PAGE_LINES})", "source_rel, doc_type, page_start, page_end")
+
+
+@query(f"""
+SELECT source_rel || '::text::' || (row_number() OVER (PARTITION BY source_rel ORDER BY piece_no) - 1)::VARCHAR AS chunk_id, source_rel AS source_file, doc_type, 'text' AS chunk_type, NULL::VARCHAR AS heading,
+       page_start, page_end, text, length(text)::INTEGER AS char_count FROM ({PAGE_PIECES}) WHERE length({STRIP % 'text'}) >= 20""")
 def chunked_pages(spark: SparkSession, d: str) -> DataFrame:
     """Chunks of every extracted file, out of its pages' lines."""
     from .. import schemas
@@ -363,7 +413,13 @@ def chunked_pages(spark: SparkSession, d: str) -> DataFrame:
     return chunking.chunk_documents(one.withColumns({c: F.array().cast(kinds[c].dataType) for c in ("spans", "tables")}))
 
 
-@query()
+CLEAN_DOCUMENTS = f"SELECT * FROM (SELECT *, {_verdict('t', 'length(t) < 40', 'EMPTY')} AS verdict FROM (SELECT *, {STRIP % "coalesce(text, '')"} AS t FROM documents)) WHERE verdict = 'CLEAN'"
+PASSAGES = _unpacked(f"SELECT doc_id, source, {_paragraphs_sql('text')} AS packed FROM ({CLEAN_DOCUMENTS})", "doc_id, source")
+
+
+@query(f"""
+SELECT source, count(*) AS passages, sum(copies)::BIGINT AS raw, round(avg(length(text)), 4) AS avg_chars, max(length(text))::INTEGER AS max_chars
+FROM (SELECT text, arg_min_null(source, doc_id) AS source, count(*) AS copies FROM ({PASSAGES}) WHERE length(text) >= 20 GROUP BY text) GROUP BY source""")
 def usable_passages(spark: SparkSession, d: str) -> DataFrame:
     """Usable distinct passages of each source and their lengths: quality, packing, exact duplicates, statistics."""
     clean = quality.page_quality(table(spark, d, "documents")).where("verdict = 'CLEAN'")
@@ -481,7 +537,19 @@ def linked_targets(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "chunks").select("chunk_seq", clean_path(F.col("source_file")).alias("source_file")).join(ends, "source_file", "left_semi").select("chunk_seq")
 
 
-@query()
+BLOCKS = f"""
+WITH hits AS ({ASKED}), near AS ({NEAREST}),
+own AS (SELECT query_id, '[Excerpt 1 | ' || {BASE.format('source_file')} || ' | p' || coalesce(page_start::VARCHAR, 'None') || ']' || chr(10) || text || chr(10) AS block, chunk_id FROM hits),
+more AS (SELECT n.query_id, n.n, c.chunk_id, '[Linked ' || CASE WHEN linked_role = 'answer' THEN 'SOLUTION' ELSE 'QUESTION' END || ' for Excerpt 1 | ' || {BASE.format('linked_to')} || ' | p' || linked_page::VARCHAR || ']' || chr(10) || c.text || chr(10) AS block
+  FROM near n JOIN chunks c ON c.chunk_seq = n.linked_seq JOIN own o ON o.query_id = n.query_id WHERE c.chunk_id <> o.chunk_id QUALIFY row_number() OVER (PARTITION BY n.query_id, c.chunk_id ORDER BY n.n) = 1),
+wide AS (SELECT o.query_id, o.block AS b0, max(m.block) FILTER (WHERE m.n = 1) AS b1, max(m.block) FILTER (WHERE m.n = 2) AS b2 FROM own o LEFT JOIN more m USING (query_id) GROUP BY o.query_id, o.block),
+one AS (SELECT *, length(b0) <= 9000 AS k0, coalesce(length(b0) <= 9000 AND length(b0) + length(b1) <= 9000, false) AS k1 FROM wide),
+two AS (SELECT *, coalesce(k0 AND length(b0) + CASE WHEN k1 THEN length(b1) ELSE 0 END + length(b2) <= 9000, false) AS k2 FROM one)
+SELECT query_id, array_to_string(list_filter([CASE WHEN k0 THEN b0 END, CASE WHEN k1 THEN b1 END, CASE WHEN k2 THEN b2 END], lambda x: x IS NOT NULL), chr(10)) AS context,
+  (k0::INT + k1::INT + k2::INT)::INTEGER AS blocks, (CASE WHEN k0 THEN length(b0) ELSE 0 END + CASE WHEN k1 THEN length(b1) ELSE 0 END + CASE WHEN k2 THEN length(b2) ELSE 0 END)::INTEGER AS used_chars FROM two"""
+
+
+@query(BLOCKS)
 def packed_contexts(spark: SparkSession, d: str) -> DataFrame:
     hits, chunks, links = _context_inputs(spark, d)
     return context.contexts(hits, context.linked_chunks(hits, chunks, links))
