@@ -44,12 +44,16 @@ SUSPECT_CLASS = (
     + "\u0340-\u0344\u0374\u037e\u0387\u0958-\u095f\u0929\u0931\u0934"
     + "]"
 )
-_SUSPECT = re.compile(SUSPECT_CLASS + "|[A-Za-z][\u0370-\u052f]|[\u0370-\u052f][A-Za-z]")
+_SUSPECT = re.compile(SUSPECT_CLASS)
+_OTHER_SCRIPT = re.compile("[\u0370-\u052f]")
+_MIXED = re.compile("[A-Za-z][\u0370-\u052f]|[\u0370-\u052f][A-Za-z]")
 
 
 def suspect(text: str) -> bool:
     """Whether `fold` could change the text, or letters of two scripts stand side by side in it."""
-    return not text.isascii() and _SUSPECT.search(text) is not None
+    if text.isascii():
+        return False
+    return _SUSPECT.search(text) is not None or (_OTHER_SCRIPT.search(text) is not None and _MIXED.search(text) is not None)
 
 
 def fold(text: str) -> str:
