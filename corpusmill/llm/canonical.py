@@ -195,8 +195,16 @@ def canonical_texts(df: DataFrame, key: str = "chunk_seq", text: str = "text", h
     with the data.
     """
     slim = df.select(F.col(key).alias("_key"), F.col(heading).alias("_heading"), F.col(text).alias("_text"))
-    odd = is_suspect(F.col("_text"), F.col("_heading"))
-    plain = slim.where(~odd).select(F.col("_key").alias(key), F.col("_heading").alias("heading"), F.col("_text").alias("text"), F.lit(False).alias("changed"))
+    plain = slim.where(~is_suspect(F.col("_text"), F.col("_heading"))).select(F.col("_key").alias(key), F.col("_heading").alias("heading"), F.col("_text").alias("text"), F.lit(False).alias("changed"))
+    done = _rewritten(slim).select(
+        F.col("_key").alias(key), F.col("_new.heading").alias("heading"), F.col("_new.text").alias("text"),
+        (~F.col("_new.heading").eqNullSafe(F.col("_heading")) | ~F.col("_new.text").eqNullSafe(F.col("_text"))).alias("changed"),
+    )
+    return plain.unionByName(done)
+
+
+def _rewritten(slim: DataFrame) -> DataFrame:
+    """The rows of (_key, _heading, _text) with suspect characters, and `_new`, their heading and text in one form."""
 
     @F.pandas_udf("array<string>")
     def words(t: pd.Series, h: pd.Series) -> pd.Series:
@@ -210,15 +218,11 @@ def canonical_texts(df: DataFrame, key: str = "chunk_seq", text: str = "text", h
             out.append((rewrite(b, known), rewrite(a, known)))
         return pd.DataFrame(out, columns=["heading", "text"])
 
-    rows = slim.where(odd).withColumn("_row", F.xxhash64("_text", "_heading"))  # equal rows share their spellings
+    # equal rows share their spellings; the few suspect rows are kept, as they are read twice
+    rows = cut(slim.where(is_suspect(F.col("_text"), F.col("_heading"))).withColumn("_row", F.xxhash64("_text", "_heading")), "suspects")
     used = rows.select("_row", F.explode(words("_text", "_heading")).alias("word")).distinct()
     known = used.join(spellings(slim, "_text", "_heading"), "word").groupBy("_row").agg(F.collect_list(F.struct("word", "canonical")).alias("_pairs"))
-    joined = rows.join(known, "_row", "left").withColumn("_new", rewritten("_text", "_heading", "_pairs"))
-    done = joined.select(
-        F.col("_key").alias(key), F.col("_new.heading").alias("heading"), F.col("_new.text").alias("text"),
-        (~F.col("_new.heading").eqNullSafe(F.col("_heading")) | ~F.col("_new.text").eqNullSafe(F.col("_text"))).alias("changed"),
-    )
-    return plain.unionByName(done)
+    return rows.join(known, "_row", "left").withColumn("_new", rewritten("_text", "_heading", "_pairs"))
 
 
 def alike_pairs(df: DataFrame, key: str = "chunk_seq", text: str = "text", heading: str = "heading") -> DataFrame:
@@ -226,12 +230,14 @@ def alike_pairs(df: DataFrame, key: str = "chunk_seq", text: str = "text", headi
 
     Null counts as the empty text. Only groups that hold two different writings are joined. Empty input gives no rows.
     """
-    raw = df.select(F.col(key).alias("_id"), F.sha1(_both(F.col(heading), F.col(text))).alias("writing"))
-    new = cut(canonical_texts(df, key, text, heading).select(F.col(key).alias("_id"), "changed", F.xxhash64(_both(F.col("heading"), F.col("text"))).alias("look"), F.sha1(_both(F.col("heading"), F.col("text"))).alias("print")), "looks")
-    # a group with two writings holds at least one changed row
-    odd = new.where("changed").select("look").distinct()
-    members = new.join(odd, "look", "left_semi").join(raw, "_id").select("_id", "print", "writing")
-    members = cut(members, "members")
+    slim = df.select(F.col(key).alias("_key"), F.col(heading).alias("_heading"), F.col(text).alias("_text"))
+    raw, form = _both(F.col("_heading"), F.col("_text")), _both(F.col("_new.heading"), F.col("_new.text"))
+    new = cut(_rewritten(slim).select(F.col("_key").alias("_id"), F.xxhash64(form).alias("look"), F.sha1(form).alias("print"), F.sha1(raw).alias("writing")), "looks")
+    # a group with two writings holds at least one row that was rewritten; a row as it stands joins the group of its text
+    odd = new.where("print <> writing").select("look").distinct()
+    standing = slim.select(F.col("_key").alias("_id"), F.xxhash64(raw).alias("look"), F.sha1(raw).alias("writing")).join(odd, "look", "left_semi")
+    members = new.join(odd, "look", "left_semi").select("_id", "print", "writing")
+    members = cut(members.unionByName(standing.select("_id", F.col("writing").alias("print"), "writing")).distinct(), "members")
     # writings are paired, not rows: copies of one writing, however many, never meet each other
     writings = members.select("print", "writing").distinct()
     other = writings.select("print", F.col("writing").alias("writing_b"))
