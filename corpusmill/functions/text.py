@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # White space and line ends as Unicode has them, and the words that name a file's role.
 WHITE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WHITE_CHARS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 QUESTION_WORDS = ("question", "questions", "ques", "qn", "qns", "q", "paper", "papers")
 ANSWER_WORDS = ("answer", "answers", "ans", "solution", "solutions", "sol", "soln", "sols", "explanation", "explanations", "explaination", "explainations", "key", "keys")
@@ -16,7 +17,7 @@ MIN_CHARS, MIN_ALNUM, MIN_PRINTABLE, MAX_WEIRD = 40, 0.55, 0.85, 0.02
 
 def strip(text: Column) -> Column:
     """Without white space at both ends, Unicode white space included."""
-    return F.regexp_replace(text, f"^[{WHITE}]+|[{WHITE}]+$", "")
+    return F.btrim(text, F.lit(WHITE_CHARS))
 
 
 def lines(text: Column) -> Column:
@@ -65,15 +66,18 @@ def parent(path: Column) -> Column:
 
 
 def share_of(text: Column, pattern: str) -> Column:
+    """Part of a text's characters that match a pattern for one of them."""
     return F.regexp_count(text, F.lit(pattern)) / F.greatest(F.length(text), F.lit(1))
 
 
 def alnum_ratio(text: Column) -> Column:
-    return share_of(text, r"[\p{L}\p{N}]")
+    """Letters and digits, taken out by runs, which is far cheaper than to count them one by one."""
+    return (F.length(text) - F.length(F.regexp_replace(text, r"[\p{L}\p{N}]+", ""))) / F.greatest(F.length(text), F.lit(1))
 
 
 def printable_ratio(text: Column) -> Column:
-    return share_of(text, r"[^\p{C}\p{Z}]|[ \n\t]")
+    """What is left when controls and separators but space, line end and tab are counted out."""
+    return (F.length(text) - F.regexp_count(text, F.lit(r"[\p{C}\p{Z}&&[^ \n\t]]"))) / F.greatest(F.length(text), F.lit(1))
 
 
 def weird_ratio(text: Column) -> Column:
