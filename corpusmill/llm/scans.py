@@ -270,7 +270,7 @@ def readable(df: DataFrame, **columns: str) -> DataFrame:
     pages, edges, broken, misread = analysed(df, **columns)
     joins = broken.groupBy("page").agg(F.collect_set(F.struct("line", "joined")).alias("breaks"))
     fixes = misread.groupBy("page").agg(F.collect_set(F.struct("word", "right")).alias("fixes"))
-    held = edges.select("page").unionByName(broken.select("page")).unionByName(misread.select("page")).distinct().withColumn("noisy", F.lit(True))
+    held = edges.select("page").unionByName(broken.where("joined").select("page")).unionByName(misread.select("page")).distinct().withColumn("noisy", F.lit(True))
 
     @F.pandas_udf("string")
     def rewrite(texts: pd.Series, skips: pd.Series, breaks: pd.Series, fixes: pd.Series) -> pd.Series:
