@@ -65,7 +65,11 @@ def number(label: str) -> int | None:
 
 
 def edge_lines(text: str | None) -> list[dict]:
-    """The first and last lines of a page that are not blank, with their shape and the numbers they may hold."""
+    """The first and last lines of a page that are not blank, with their shape and the numbers they may hold.
+
+    A line that may be a lone page number comes as a row of its own, with the number of lines above and below it; whether
+    it counts is seen when the running lines are known. Unless it is the outermost line it has a row of its wording too.
+    """
     if not text:
         return []
     lines = text.split("\n")
@@ -75,14 +79,17 @@ def edge_lines(text: str | None) -> list[dict]:
     for rank, i in [*enumerate(full[:EDGE]), *((len(full) - 1 - k, i) for k, i in enumerate(full) if k >= max(EDGE, len(full) - EDGE))]:
         line = lines[i].strip()
         outer = i in (full[0], full[-1])
-        m = _ALONE.fullmatch(line) if outer and len(line) <= 24 else None
+        top = rank if i in full[:EDGE] else len(full) - 1 - rank
+        place = {"line_no": i, "top": top, "bottom": len(full) - 1 - top}
+        m = _ALONE.fullmatch(line) if len(line) <= 24 else None
         if m:
             label = m["n"]
             # figures by themselves may be a table's; marks around them, or Roman numerals, make a page number likelier
             roman = not any(c.isdigit() for c in label) and _NUMERAL.fullmatch(label.lower()) is not None
             if _MARKED.search(line) or line[-1] not in ".,;:?!":  # else the end of a sentence
-                out.append({"line_no": i, "rank": rank, "key": "", "body": False, "number": number(label), "alone": True, "marked": roman or _MARKED.search(line) is not None})
-            continue
+                out.append(place | {"key": "", "body": False, "number": number(label), "alone": True, "marked": roman or _MARKED.search(line) is not None})
+            if outer:
+                continue
         found, rest = None, line
         if len(line) <= 100 and (_FIGURE.search(line, 0, 12) or _FIGURE.search(line, max(0, len(line) - 12))):
             for pattern in (_FIRST, _LAST):
@@ -92,14 +99,14 @@ def edge_lines(text: str | None) -> list[dict]:
                     break
         key = re.sub(r"[\W_]+", "", shape(re.sub(r"\d+", "", rest) if found is None else rest))
         body = line[-1] in ".?!,;।”" or line[0].islower() or (len(line) > 30 and len(line) >= FULL * width)  # reads like text
-        out.append({"line_no": i, "rank": rank, "key": key, "body": body, "number": found, "alone": False, "marked": False})
+        out.append(place | {"key": key, "body": body, "number": found, "alone": False, "marked": False})
     return out
 
 
 def furniture(pages: DataFrame) -> DataFrame:
     """(page, line_no, kind) of running lines and page numbers out of (page, file, page_num, text)."""
 
-    @F.pandas_udf("array<struct<line_no:int,rank:int,key:string,body:boolean,number:int,alone:boolean,marked:boolean>>")
+    @F.pandas_udf("array<struct<line_no:int,top:int,bottom:int,key:string,body:boolean,number:int,alone:boolean,marked:boolean>>")
     def edges(texts: pd.Series) -> pd.Series:
         return pd.Series([[x | {"number": x["number"] if x["number"] is None or x["number"] < 1 << 30 else None} for x in edge_lines(t)] for t in texts])
 
@@ -110,7 +117,12 @@ def furniture(pages: DataFrame) -> DataFrame:
     running = counts.where((F.col("on") >= LEAST_PAGES) & (~F.col("body") | (F.col("on") >= BODY_SHARE * F.col("pages")))).select("file", "key")
     run_lines = keyed.join(running, ["file", "key"], "left_semi")
 
-    numbered = lines.where("number IS NOT NULL AND alone").select("page", "file", "page_num", "line_no", "number", "alone", "marked").unionByName(run_lines.where("number IS NOT NULL").select("page", "file", "page_num", "line_no", "number", "alone", "marked"))
+    # a lone number counts where only running lines stand between it and an edge of the page
+    around = run_lines.groupBy("page").agg(F.collect_set("top").alias("tops"), F.collect_set("bottom").alias("bottoms"))
+    free = [f"{x} < {EDGE} AND size(filter(coalesce({x}s, array()), y -> y < {x})) = {x}" for x in ("top", "bottom")]
+    lone = lines.where("number IS NOT NULL AND alone").join(around, "page", "left").where(" OR ".join(free))
+    columns = ["page", "file", "page_num", "line_no", "number", "alone", "marked"]
+    numbered = lone.select(columns).unionByName(run_lines.where("number IS NOT NULL").select(columns))
     steps = numbered.withColumn("step", F.col("number") - F.col("page_num"))
     support = steps.select("file", "step", "page_num").distinct().groupBy("file", "step").agg(F.count("*").alias("along"))
     told = steps.join(support, ["file", "step"])

@@ -46,3 +46,15 @@ def test_readable(spark):
     assert got[101] == "the probability that seconds pass before the three-digit hours."
     assert got[102] == "the pyramid measures twice and 15 hours pass."
     assert got[0] == "\n".join(FILLER) and got[200] is None and got[201] == ""
+
+
+def test_lone_number_behind_running_lines(spark):
+    def page(p, above, below):
+        return (300 + p, "book", p, "ocr", "\n".join(["Journal of Seas", *above, *FILLER, "77", "a pyramid.", *below, "Harbour Press Reprint"]))
+
+    rows = [page(1, ["— 24 —"], []), page(2, [], ["l2"]), page(3, ["more words on the sea", "[84]"], []), page(4, [], ["14"]), page(5, ["99"], [])]
+    pages = spark.createDataFrame(rows, "page_id long, source_rel string, page_num int, method string, text string")
+    got = {r["page_id"] for r in scans.noise(pages).where("kind = 'page_number'").collect()}
+    assert got == {301, 302, 304}
+    text = {r["page_id"]: r["text"] for r in scans.readable(pages).collect()}
+    assert "24" not in text[301] and "l2" not in text[302] and "14" not in text[304] and "99" in text[305] and "84" in text[303] and "77" in text[302]
