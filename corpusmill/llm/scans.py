@@ -197,7 +197,8 @@ def _vocabulary(pages: DataFrame) -> DataFrame:
 
 def analysed(df: DataFrame, key: str = "page_id", text: str = "text", source: str = "source_rel", page: str = "page_num", method: str = "method") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(pages, furniture, broken words with `joined` or not, misread words with their `right` form)."""
-    rows = df.select(F.col(key).alias("page"), F.col(source).cast("string").alias("file"), F.coalesce(F.col(page), F.lit(0)).alias("page_num"), F.col(method).cast("string").alias("method"), F.col(text).alias("text"))
+    file = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))  # never null: joins drop null keys
+    rows = df.select(F.col(key).alias("page"), file.alias("file"), F.coalesce(F.col(page), F.lit(0)).alias("page_num"), F.col(method).cast("string").alias("method"), F.col(text).alias("text"))
     edges = cut(furniture(rows), "furniture")
     skip = edges.groupBy("page").agg(F.collect_set("line_no").alias("skip"))
     pages = cut(rows.join(skip, "page", "left"), "pages")

@@ -58,3 +58,11 @@ def test_lone_number_behind_running_lines(spark):
     assert got == {301, 302, 304}
     text = {r["page_id"]: r["text"] for r in scans.readable(pages).collect()}
     assert "24" not in text[301] and "l2" not in text[302] and "14" not in text[304] and "99" in text[305] and "84" in text[303] and "77" in text[302]
+
+
+def test_null_file(spark):
+    rows = [(400 + p, None, p, "ocr", "\n".join(["Journal of Seas", *FILLER, f"{40 + p}"])) for p in range(1, 5)]
+    rows += [(410, "", 1, "ocr", "\n".join(["Journal of Seas", *FILLER, "[7]"])), (411, None, 9, "ocr", "A last page without a head.\n— 2 —")]
+    pages = spark.createDataFrame(rows, "page_id long, source_rel string, page_num int, method string, text string")
+    got = {(r["page_id"], r["kind"]) for r in scans.noise(pages).collect()}
+    assert got == {(400 + p, k) for p in range(1, 5) for k in ("running_line", "page_number")} | {(410, "page_number"), (411, "page_number")}
