@@ -31,7 +31,13 @@ CLASSES = (16, 32, 64)
 BLOCK_ROWS = 20_000
 SHARED_OPENING = 3
 
-_TAG = re.compile(r"</?[A-Za-z][^<>]{0,80}>|&(?:[A-Za-z]{2,8}|#\d{1,6}|#x[0-9a-fA-F]{1,5});|!?\[([^\]\n]{0,200})\]\([^)\s]{0,200}\)")
+# Tags of any length are told by their attributes (prose between < and > is none), short ones and addresses by the brackets.
+_ATTRIBUTE = r"""\s++[A-Za-z_:@][\w.:@-]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'<>]++))?+"""
+_ADDRESS = r"""(?:\(\s*+(?:<[^<>\n]*+>|[^\s()]*+(?:\([^\s()]*+\)[^\s()]*+)*+)(?:\s++(?:"[^"]*+"|'[^']*+'|\([^()]*+\)))?+\s*+\)|\([^)\s]{0,200}\))"""
+_TAG = re.compile(
+    rf"<(?=[^<>=]*+=|[^\s<>]*+\s++[^\s<>]*+>)[A-Za-z][\w:.-]*+(?:{_ATTRIBUTE})*+\s*+/?>|</?[A-Za-z](?:[^<>]{{0,80}}|[^\s<>]*+)>"
+    rf"|&(?:[A-Za-z]{{2,8}}|#\d{{1,6}}|#x[0-9a-fA-F]{{1,5}});|!?\[([^\[\]]*+)\]{_ADDRESS}|\]{_ADDRESS}"
+)
 _HYPHEN = re.compile(r"(?<=[^\W\d_])[-\u00ad\u2010\u2011¬]\s*\n\s*(?=[^\W\d_])")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -39,7 +45,7 @@ _WORD = re.compile(r"[^\W_]+")
 def _unmark(m: re.Match) -> str:
     if m[0][0] == "&":
         return html.unescape(m[0])
-    return m[1] if m[1] is not None else " "
+    return m[1] if m[1] is not None else " " if m[0][0] == "<" else ""
 
 
 def words_of(text: str | None) -> list[str]:

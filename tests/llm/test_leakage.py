@@ -72,3 +72,20 @@ def test_blocks_of_items_and_empty_tables(spark):
 
 def test_words():
     assert leakage.words_of("A **Velvet** <i>vine&shy;yard</i>, tоll gate") == ["a", "velvet", "vineyard", "toll", "gate"]
+
+
+def test_markup_of_any_length(spark):
+    far = "https://example.org/" + "long-way/" * 35
+    words = passage(random.Random(5), 24).split()
+    tag, image, bare = f'<a href="{far}" class="x > y">', f"<img src='{far}' alt=\"some other words\"/>", f"<{far}>"
+    link = f'[{words[11]}\n{words[12]}]({far}_(a) "A title of some more words, and a few")'
+    nested = f"[![{words[18]}]({far})]({far} 'Title')"
+    text = " ".join([*words[:6], tag, *words[6:11], link, *words[13:15], image, *words[15:18], nested, bare, *words[19:], "</a>"])
+    assert leakage.words_of(text) == words
+    prose = f"where x <y and {', '.join(words)} or z> w; [1](as {' '.join(words)})"
+    assert [w for w in leakage.words_of(prose) if w in words] == words * 2
+    for piece in ("<a b=", '<a b="', "[", "](", "](a", '](a "', "](a(b)", "<a ", "![a](b "):
+        leakage.words_of(piece * 20_000)  # takes time in proportion
+    documents = spark.createDataFrame([(1, text), (2, prose)], "doc_id long, text string")
+    items = spark.createDataFrame([("i", None, " ".join(words))], "item_id string, question string, passage string")
+    assert {r["doc_id"] for r in leakage.leaked_items(documents, items).collect()} == {1, 2}
