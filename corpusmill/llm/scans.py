@@ -252,7 +252,10 @@ def analysed(df: DataFrame, key: str = "page_id", text: str = "text", source: st
     own = (F.col("n_compound") > 0) & (F.col("n_compound") >= 0.1 * F.col("n_whole"))
     parts = (F.col("n_whole") == 0) & (F.col("n_left") >= KNOWN) & (F.col("n_right") >= KNOWN)
     judged = judged.select("page", "line", "word", "right_whole", "n_word", "n_whole", (soft | ~(own | parts)).alias("joined"))
-    misread = seen.where("kind = 'word'").join(wrong, "word", "left").where("right IS NOT NULL OR mark = 'number'").select("page", "word", "right")
+    # figures among letters are judged by the whole vocabulary, so that what is looked up does not decide
+    told = seen.where("kind = 'word'")
+    figures = told.where("mark = 'number'").join(wrong, "word", "left_anti").join(words.where("clean < 3"), "word", "left_semi")
+    misread = told.join(wrong, "word").select("page", "word", "right").unionByName(figures.select("page", "word", F.lit(None).cast("string").alias("right")))
     known = wrong.select("word", F.col("right").alias("known"))
     unknown = (F.col("n_word") == 0) & (F.col("n_whole") >= KNOWN) & (F.col("word") != F.col("right_whole"))
     torn = judged.where("joined").join(known, "word", "left").where(F.col("known").isNotNull() | unknown).select("page", "word", F.coalesce("known", "right_whole").alias("right"))

@@ -66,3 +66,14 @@ def test_null_file(spark):
     pages = spark.createDataFrame(rows, "page_id long, source_rel string, page_num int, method string, text string")
     got = {(r["page_id"], r["kind"]) for r in scans.noise(pages).collect()}
     assert got == {(400 + p, k) for p in range(1, 5) for k in ("running_line", "page_number")} | {(410, "page_number"), (411, "page_number")}
+
+
+def test_usual_words_only_save_lookups(spark, monkeypatch):
+    rows = [(500 + i, f"clean{i}", 1, "pymupdf", f"{FILLER[0]}\nin the 60s and after") for i in range(4)]
+    rows += [(510, "scan", 1, "ocr", "in the 60s the l5 hours pass.\nand after")]
+    pages = spark.createDataFrame(rows, "page_id long, source_rel string, page_num int, method string, text string")
+    for size in (scans.COMMON, 0):
+        monkeypatch.setattr(scans, "COMMON", size)
+        assert [tuple(r) for r in scans.noise(pages).collect()] == [(510, "misread")]
+        text = {r["page_id"]: r["text"] for r in scans.readable(pages).where("page_id = 510").collect()}[510]
+        assert "60s" in text and "15 hours" in text
