@@ -92,27 +92,41 @@ def signatures(shingles: np.ndarray, groups: np.ndarray, bins: int) -> tuple[np.
     return g[first], s[first]
 
 
-def stock_openings(questions: list[str | None], least: int = SHARED_OPENING) -> set[tuple[str, ...]]:
-    """First sentences with which at least `least` different questions open: stock instructions."""
-    opening: dict[tuple[str, ...], set[str]] = defaultdict(set)
-    for q in questions:
-        parts = re.split(r"(?<=[.!?:])\s+", (q or "").strip(), maxsplit=1)
-        if len(parts) == 2:
-            opening[tuple(words_of(parts[0]))].add(parts[1])
-    return {k for k, v in opening.items() if k and len(v) >= least}
-
-
-def item_texts(items: list) -> list[tuple[str, list[str]]]:
-    """(item_id, words) of each question, without its stock instruction, and each passage."""
-    stock = stock_openings([r["question"] for r in items])
+def _opening(question: str | None) -> tuple[str | None, str | None]:
+    """The words of a question's first sentence, by spaces, and what follows it."""
+    parts = re.split(r"(?<=[.!?:])\s+", (question or "").strip(), maxsplit=1)
+    return (" ".join(words_of(parts[0])) or None, parts[1]) if len(parts) == 2 else (None, None)
+
+
+def stock_openings(items: DataFrame, least: int = SHARED_OPENING) -> set[tuple[str, ...]]:
+    """First sentences with which at least `least` different questions open, over all items: stock instructions."""
+
+    @F.pandas_udf("struct<opening:string,rest:string>")
+    def opening(questions: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_opening(q) for q in questions], columns=["opening", "rest"], dtype=object)
+
+    every = items.select(opening("question").alias("o")).select("o.*").where("opening IS NOT NULL")
+    shared = every.groupBy("opening").agg(F.countDistinct("rest").alias("n")).where(F.col("n") >= least)
+    return {tuple(r["opening"].split(" ")) for r in shared.select("opening").collect()}
+
+
+def item_texts(items: list, stock: set[tuple[str, ...]] | None = None) -> list[tuple[str, list[str]]]:
+    """(item_id, words) of each question, without its stock instruction, and each passage.
+
+    `stock` are the openings shared over all items; without it the given items are all there are.
+    """
+    if stock is None:
+        rests: dict[str, set[str]] = defaultdict(set)
+        for o, rest in (_opening(r["question"]) for r in items):
+            if o:
+                rests[o].add(rest)
+        stock = {tuple(o.split(" ")) for o, v in rests.items() if len(v) >= SHARED_OPENING}
+    lengths = sorted({len(s) for s in stock}, reverse=True)
     out = []
     for r in items:
         q = words_of(r["question"])
-        for s in stock:
-            if tuple(q[: len(s)]) == s:
-                q = q[len(s) :]
-                break
-        out += [(r["item_id"], w) for w in (q, words_of(r["passage"])) if len(w) >= SPAN]
+        n = next((n for n in lengths if tuple(q[:n]) in stock), 0)  # the longest
+        out += [(r["item_id"], w) for w in (q[n:], words_of(r["passage"])) if len(w) >= SPAN]
     return out
 
 
@@ -247,7 +261,8 @@ def leaked_items(documents: DataFrame, items: DataFrame, block_rows: int = BLOCK
     """(doc_id, item_id, shared_shingles) of every document that holds a passage or question of a test item.
 
     The test items are a stated query set: they are read in blocks of at most `block_rows` rows, each of which goes over
-    all documents, so what is sent to the tasks is bounded whatever their number. Null texts, passages and ids of items
+    all documents, so what is sent to the tasks is bounded whatever their number; stock openings are counted over all
+    items, and the driver holds those. Null texts, passages and ids of items
     hold nothing; texts shorter than SPAN words cannot be a case; repeated documents each get their rows. A passage
     shared by several items names them all. Neither side's other columns are read.
     """
@@ -257,9 +272,10 @@ def leaked_items(documents: DataFrame, items: DataFrame, block_rows: int = BLOCK
     parts = max(1, -(-n // block_rows))
     rows = listed.withColumn("_part", F.pmod(F.xxhash64("item_id"), F.lit(parts))) if parts > 1 else listed.withColumn("_part", F.lit(0))
     kind = documents.schema["doc_id"].dataType.simpleString()
+    stock = stock_openings(listed)
     out = None
     for part in range(parts):
-        index = spark.sparkContext.broadcast(Index(item_texts(rows.where(F.col("_part") == part).collect())))
+        index = spark.sparkContext.broadcast(Index(item_texts(rows.where(F.col("_part") == part).collect(), stock)))
         found = documents.select("doc_id", "text").mapInPandas(_search(index), f"doc_id {kind}, item_id string, shared_shingles int")
         out = found if out is None else out.unionByName(found)
     return out.groupBy("doc_id", "item_id").agg(F.max("shared_shingles").alias("shared_shingles"))

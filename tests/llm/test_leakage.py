@@ -89,3 +89,12 @@ def test_markup_of_any_length(spark):
     documents = spark.createDataFrame([(1, text), (2, prose)], "doc_id long, text string")
     items = spark.createDataFrame([("i", None, " ".join(words))], "item_id string, question string, passage string")
     assert {r["doc_id"] for r in leakage.leaked_items(documents, items).collect()} == {1, 2}
+
+
+def test_stock_openings_count_over_all_blocks(spark):
+    r = random.Random(7)
+    stock = f"{passage(r, 18)}."
+    items = spark.createDataFrame([(f"s{k}", f"{stock} {passage(r, 20)}?", None) for k in range(6)], "item_id string, question string, passage string")
+    documents = spark.createDataFrame([(1, f"{passage(r, 20)} {stock} few words"), (2, items.first()["question"])], "doc_id long, text string")
+    for rows in (leakage.BLOCK_ROWS, 1):
+        assert [tuple(x)[:2] for x in leakage.leaked_items(documents, items, block_rows=rows).collect()] == [(2, "s0")]
