@@ -85,3 +85,47 @@ def test_repeated_lines_against_brute_force(spark):
     kept = {r["chunk_seq"]: r["text"] for r in boilerplate.without_repeated(df).collect()}
     assert kept[n] == "" and kept[n + 1] == "with a friend" and kept[n + 2] is None and "Share" not in kept[0]
     assert boilerplate.repeated_blocks(df.where("false")).count() == 0
+
+
+def test_identifiers_agree(spark):
+    lines = ["All rights reserved", "a-b 12", "Zoë", "12", ""]
+    df = spark.createDataFrame([(0, "s/f", "\n".join(lines)), (1, "s/f", "all RIGHTS reserved!\nab"), (2, "s/f", None)], "chunk_seq long, source_file string, text string")
+    got = {r["_key"]: [(x["line_no"], x["id"]) for x in r["lines"]] for r in boilerplate.lines_of(df).collect()}
+    assert got[0] == [(i + 1, boilerplate.identifier(x)) for i, x in enumerate(lines) if boilerplate.identifier(x) is not None] and got[2] == []
+    assert [x for _, x in got[1]] == [x for _, x in got[0][:2]]  # the JVM's identifiers are Python's
+
+
+def longest_prefixes(files, needed):
+    """Brute force: for each (file, place) the longest run of lines that `needed` files have, and how many have it."""
+    out = {}
+    for f, lines in files.items():
+        for i in range(len(lines)):
+            best = (0, 0)
+            for n in range(1, len(lines) - i + 1):
+                block = lines[i : i + n]
+                on = sum(any(other[k : k + n] == block for k in range(len(other))) for other in files.values())
+                if on < needed:
+                    break
+                best = (n, on)
+            out[f, i] = best
+    return out
+
+
+def test_blocks_of_any_length_across_chunks(spark):
+    five, three = ["alpha", "beta", "gamma", "delta", "epsilon"], ["one", "two", "three"]
+    files, rows = {}, []
+    for f in range(12):
+        own = [f"own {chr(97 + f)}"]
+        lines = own + (five if f % 2 == 0 else []) + [f"mid {chr(97 + f)}"] + (three if f < 5 else []) + (["three"] if f == 11 else [])
+        files[f] = [x.replace(" ", "") for x in lines]
+        cut = 1 + f % 4  # the block of five crosses the end of a chunk
+        rows += [(10 * f, f"S/f{f}.pdf", "\n".join(lines[:cut])), (10 * f + 1, f"S/f{f}.pdf", "7\n" + "\n".join(lines[cut:]))]
+    df = spark.createDataFrame(rows, "chunk_seq long, source_file string, text string")
+    lines, sizes = boilerplate.sequences(df)
+    prefixes, _ = boilerplate.common_prefixes(lines, sizes.selectExpr("site", "4 AS needed"))
+    names = {r["file"]: r["name"] for r in df.selectExpr("xxhash64(source_file) AS file", "CAST(regexp_extract(source_file, 'f([0-9]+)', 1) AS int) AS name").distinct().collect()}
+    got = {(names[r["file"]], r["pos"]): (r["length"], r["block_files"]) for r in prefixes.collect()}
+    assert got == {k: v for k, v in longest_prefixes(files, 4).items() if v[0]}
+    found = boilerplate.repeated_blocks(df).collect()
+    assert {(r["block_lines"], r["block_files"]) for r in found} == {(5, 6), (3, 5), (1, 6)}
+    assert {r["chunk_seq"] for r in found if r["block_lines"] == 5} == {10 * f + i for f in range(0, 12, 2) for i in (0, 1) if not (i == 0 and f % 4 == 0)}
