@@ -1,7 +1,8 @@
 """Problem 5: noise in the text of scanned pages.
 
 Headers and footers are lines at the edges of pages that come back within a file, misread characters aside: lines are
-compared by their shape, in which characters that scanners take for each other are written alike. Page numbers are
+compared by their shape, in which characters that scanners take for each other are written alike, and shapes that differ
+from a running line's in few characters join it. Page numbers are
 figures at the edges that run along with the pages of the file. Words cut at line ends are judged by the corpus
 vocabulary: joined where the joined word is known, kept where the compound with its own hyphen is. A word is misread where
 the corpus knows, among the words of its shape, one that is far more frequent.
@@ -17,10 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, looked_up, slices
 
 EDGE, LEAST_PAGES, RARER, KNOWN, COMMON = 3, 3, 20, 3, 50_000
 BODY_SHARE, FULL = 0.8, 0.8
+#: Characters of a line's shape for each that may differ in a fuzzy repetition, and those that must agree at either end.
+FUZZY, AGREE = 10, 8
 
 # What scanners take for each other, each written as the smaller parts that it may fall into.
 PARTS = {
@@ -31,15 +34,19 @@ FIGURES = str.maketrans({"l": "1", "I": "1", "|": "1", "i": "1", "O": "0", "o":
 _PARTS = str.maketrans(PARTS)
 _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
 
+LOST = "\ufffd"
 _TOKEN = re.compile(r"[\w@|!\ufffd]+")
+_DIGITS, _NOT_WORD = re.compile(r"\d+"), re.compile(r"[\W_]+")
 _COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 _NUMBER = re.compile(r"(?=.*\d)(?=.*[lOSI|o])[\dlOSI|o]+")
 _NUMERAL = re.compile(r"(?=.)c{0,3}(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})")
 _MARKED = re.compile(r"[\[\](){}—–|-]|page|pg|p\.", re.I)
-_FIGURE = re.compile(r"\d")
-_ALONE = re.compile(r"[\W_]*(?:(?:page|pg|p)\.?\s*)?(?P<n>[0-9lIOS|]{1,5}|[ivxlc]{1,9})(?:\s*(?:of|/)\s*[0-9lIOS|]{1,5})?[\W_]*", re.I)
-_FIRST = re.compile(r"[\W_]*(?P<n>[0-9lIOS|]{1,5}|[ivxlc]{1,9})[\W_]*\s(?P<rest>.*[^\W\d_].*)")
-_LAST = re.compile(r"(?P<rest>.*[^\W\d_].*?)(?:\s|[|\-–—])[\W_]*(?:(?:page|pg|p)\.?\s*)?(?P<n>[0-9lIOS|]{1,5}|[ivxlc]{1,9})[\W_]*", re.I)
+_NUMERALS = r"[0-9lIOS|]{1,5}|[ivxlc]{1,9}"
+_ALONE = re.compile(rf"[\W_]*(?:(?:page|pg|p)\.?\s*)?(?P<n>{_NUMERALS})(?:\s*(?:of|/)\s*[0-9lIOS|]{{1,5}})?[\W_]*", re.I)
+_FIRST = re.compile(rf"[\W_]*(?P<n>{_NUMERALS})(?P<gap>[\W_]+)")
+_LAST = re.compile(rf"(?P<gap>[\W_]+)(?:(?:page|pg|p)\.?\s*)?(?P<n>{_NUMERALS})[\W_]*$", re.I)
+_SPACED, _BARRED, _LETTER, _FIGURE = re.compile(r"\s"), re.compile(r"[\s|\-–—]"), re.compile(r"[^\W\d_]"), re.compile(r"\d")
+_CUT = re.compile("[-\u2010\u00ad¬–=~][ \t\r\f\v]*\n")
 _END = re.compile(r"(?P<left>[^\W\d_](?:[\w@|!]|-(?=\w))*)(?P<mark>[-\u2010\u00ad¬–=~])\s*$")
 MARKS = frozenset("-\u2010\u00ad¬–=~")
 _NEXT = re.compile(r"\s*(?P<right>[^\W\d_][\w@|!]*)")
@@ -64,58 +71,103 @@ def number(label: str) -> int | None:
     return total
 
 
-def edge_lines(text: str | None) -> list[dict]:
-    """The first and last lines of a page that are not blank, with their shape and the numbers they may hold.
+def edge_places(lines: list[str]) -> list[tuple[int, int, int]]:
+    """(line, lines with text above it, lines with text below it) of the first and last lines of a page with text."""
+    full = [i for i, x in enumerate(lines) if x.strip()]
+    last = len(full) - 1
+    return [(full[k], k, last - k) for k in range(len(full)) if k < EDGE or last - k < EDGE]
+
+
+def numbered_line(line: str) -> tuple[str, int] | None:
+    """(what else a line says, number) of a line with letters that a number opens or closes."""
+    if not _FIGURE.search(line):
+        return None
+    m = _FIRST.match(line)
+    if m and _SPACED.search(m["gap"]) and _FIGURE.search(m["n"]) and (n := number(m["n"])) is not None and _LETTER.search(line, m.end()):
+        return line[m.end() :], n
+    m = _LAST.search(line)
+    if m and _BARRED.search(m["gap"]) and _FIGURE.search(m["n"]) and (n := number(m["n"])) is not None and _LETTER.search(line, 0, m.start()):
+        return line[: m.start()], n
+    return None
+
+
+def edge_lines(lines: list[str]) -> Iterator[tuple]:
+    """(line_no, top, bottom, key, body, number, alone, marked) of the first and last lines of a page that are not blank,
+    with their shape and the numbers they may hold.
 
     A line that may be a lone page number comes as a row of its own, with the number of lines above and below it; whether
     it counts is seen when the running lines are known. Unless it is the outermost line it has a row of its wording too.
     """
-    if not text:
-        return []
-    lines = text.split("\n")
-    full = [i for i, x in enumerate(lines) if x.strip()]
-    width = max((len(x) for x in lines), default=0)
-    out = []
-    for rank, i in [*enumerate(full[:EDGE]), *((len(full) - 1 - k, i) for k, i in enumerate(full) if k >= max(EDGE, len(full) - EDGE))]:
+    width = max(map(len, lines), default=0)
+    for i, top, bottom in edge_places(lines):
         line = lines[i].strip()
-        outer = i in (full[0], full[-1])
-        top = rank if i in full[:EDGE] else len(full) - 1 - rank
-        place = {"line_no": i, "top": top, "bottom": len(full) - 1 - top}
-        m = _ALONE.fullmatch(line) if len(line) <= 24 else None
+        m = _ALONE.fullmatch(line)
         if m:
-            label = m["n"]
+            label, marked = m["n"], _MARKED.search(line) is not None
             # figures by themselves may be a table's; marks around them, or Roman numerals, make a page number likelier
-            roman = not any(c.isdigit() for c in label) and _NUMERAL.fullmatch(label.lower()) is not None
-            if _MARKED.search(line) or line[-1] not in ".,;:?!":  # else the end of a sentence
-                out.append(place | {"key": "", "body": False, "number": number(label), "alone": True, "marked": roman or _MARKED.search(line) is not None})
-            if outer:
+            roman = not _FIGURE.search(label) and _NUMERAL.fullmatch(label.lower()) is not None
+            if marked or line[-1] not in ".,;:?!":  # else the end of a sentence
+                yield i, top, bottom, "", False, number(label), True, roman or marked
+            if not top or not bottom:
                 continue
-        found, rest = None, line
-        if len(line) <= 100 and (_FIGURE.search(line, 0, 12) or _FIGURE.search(line, max(0, len(line) - 12))):
-            for pattern in (_FIRST, _LAST):
-                m = pattern.fullmatch(line)
-                if m and any(c.isdigit() for c in m["n"]) and (found := number(m["n"])) is not None:
-                    rest = m["rest"]
-                    break
-        key = re.sub(r"[\W_]+", "", shape(re.sub(r"\d+", "", rest) if found is None else rest))
+        rest, found = numbered_line(line) or (_DIGITS.sub("", line), None)
         body = line[-1] in ".?!,;।”" or line[0].islower() or (len(line) > 30 and len(line) >= FULL * width)  # reads like text
-        out.append(place | {"key": key, "body": body, "number": found, "alone": False, "marked": False})
-    return out
+        yield i, top, bottom, _NOT_WORD.sub("", shape(rest)), body, found, False, False
 
 
-def furniture(pages: DataFrame) -> DataFrame:
-    """(page, line_no, kind) of running lines and page numbers out of (page, file, page_num, text)."""
+def first_pass(pages: DataFrame) -> DataFrame:
+    """What one reading of the texts gives, told apart by `kind`: edge lines ("edge") and the task's counts of words
+    ("word": word, shape, n and those off scanned pages, clean)."""
+    kind = pages.schema["page"].dataType.simpleString()
+    edge = "line_no int, top int, bottom int, key string, body boolean, number int, alone boolean, marked boolean"
+    schema = f"kind string, page {kind}, file string, page_num int, {edge}, word string, shape string, n long, clean long"
+    names = [c.split()[0] for c in schema.split(", ")]
 
-    @F.pandas_udf("array<struct<line_no:int,top:int,bottom:int,key:string,body:boolean,number:int,alone:boolean,marked:boolean>>")
-    def edges(texts: pd.Series) -> pd.Series:
-        return pd.Series([[x | {"number": x["number"] if x["number"] is None or x["number"] < 1 << 30 else None} for x in edge_lines(t)] for t in texts])
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        every, clean = Counter(), Counter()
 
-    lines = cut(pages.select("page", "file", "page_num", F.explode(edges("text")).alias("e")).select("page", "file", "page_num", "e.*"), "edges")
-    size = pages.groupBy("file").agg(F.countDistinct("page_num").alias("pages"))
+        def words() -> pd.DataFrame:
+            rows = [("word", *[None] * 11, w, shape(w), n, clean[w]) for w, n in every.items()]
+            every.clear()
+            clean.clear()
+            return pd.DataFrame(rows, columns=names)
+
+        for batch in (part for whole in batches for part in slices(whole, "text")):
+            edges = []
+            for p, f, at, method, t in zip(batch["page"], batch["file"], batch["page_num"], batch["method"], batch["text"]):
+                if not t:
+                    continue
+                lines = t.split("\n")
+                edges += [("edge", p, f, at, *e, None, None, None, None) for e in edge_lines(lines)]
+                found = list(whole_words(t, lines, _broken(lines) if _CUT.search(t) else []))
+                every.update(found)
+                if method and method != "ocr":
+                    clean.update(found)
+            rows = pd.DataFrame(edges, columns=names)
+            yield rows.assign(number=rows["number"].astype("Int64"))
+            if len(every) > 200_000:
+                yield words()
+        yield words()
+
+    return pages.mapInPandas(read, schema)
+
+
+def furniture(lines: DataFrame, size: DataFrame) -> DataFrame:
+    """(page, line_no, kind) of running lines and page numbers out of edge lines and (file, pages).
+
+    Lines of one key in a file are one line. A key on too few pages joins a running line of its file from which it differs
+    in at most one character of FUZZY, where they agree in their first or last AGREE characters.
+    """
     keyed = lines.where(F.length("key") >= 4)
     counts = keyed.select("file", "key", "body", "page_num").distinct().groupBy("file", "key").agg(F.countDistinct("page_num").alias("on"), F.min("body").alias("body")).join(size, "file")
-    running = counts.where((F.col("on") >= LEAST_PAGES) & (~F.col("body") | (F.col("on") >= BODY_SHARE * F.col("pages")))).select("file", "key")
-    run_lines = keyed.join(running, ["file", "key"], "left_semi")
+    running = (F.col("on") >= LEAST_PAGES) & (~F.col("body") | (F.col("on") >= BODY_SHARE * F.col("pages")))
+    keys = cut(counts.select("file", "key", running.alias("running")), "keys")
+    firm, loose = keys.where("running").select("file", F.col("key").alias("firm")), keys.where(~F.col("running") & (F.length("key") >= AGREE))
+    ends = lambda c: F.explode(F.array(F.concat(F.lit("<"), F.substring(c, 1, AGREE)), F.concat(F.lit(">"), F.expr(f"right({c}, {AGREE})")))).alias("end")
+    near = loose.select("file", "key", ends("key")).join(firm.select("file", "firm", ends("firm")), ["file", "end"])
+    near = near.where(F.levenshtein("key", "firm") * FUZZY <= F.least(F.length("key"), F.length("firm"))).select("file", "key")
+    ran = cut(firm.select("file", F.col("firm").alias("key")).unionByName(near).distinct(), "running")
+    run_lines = looked_up(keyed, ran, ["file", "key"], F.col("page"), ran.count())
 
     # a lone number counts where only running lines stand between it and an edge of the page
     around = run_lines.groupBy("page").agg(F.collect_set("top").alias("tops"), F.collect_set("bottom").alias("bottoms"))
@@ -134,19 +186,27 @@ def furniture(pages: DataFrame) -> DataFrame:
     )
 
 
-def _body(text: str, skip: set[int]) -> list[str]:
-    return [x for i, x in enumerate(text.split("\n")) if i not in skip]
+def _body(text: str, skip: set[int]) -> list[tuple[int, str]]:
+    """(number, line) of the lines that stay."""
+    return [(i, x) for i, x in enumerate(text.split("\n")) if i not in skip]
 
 
-def _words(lines: list[str], marked: list[bool]) -> Iterator[str]:
-    """Words of a page's lines that are whole: not those at a broken line end or after it."""
-    for i, line in enumerate(lines):
-        tokens = _TOKEN.findall(line)
-        if marked[i] and tokens:
-            tokens.pop()
-        if i and marked[i - 1] and tokens:
-            tokens.pop(0)
-        yield from (w for w in tokens if "\ufffd" not in w)  # characters lost by a wrong decoding are no misreading
+def whole_words(text: str, lines: list[str], broken: list[tuple[int, str, str, str]]) -> Iterator[str]:
+    """Lower-case words of a page that are whole (not those at a broken line end or after it), and its compounds."""
+    if broken:
+        lines = list(lines)
+        for i, left, mark, right in broken:
+            lines[i] = lines[i].rstrip()[: -len(left) - 1]
+            lines[i + 1] = lines[i + 1].lstrip()[len(right) :]
+        text = "\n".join(lines)
+    text = text.lower()
+    for w in _TOKEN.findall(text):
+        if not w.isdigit() and LOST not in w:  # characters lost by a wrong decoding are no misreading
+            yield w
+    if "-" in text:
+        for w in text.split():
+            if "-" in w:
+                yield from _COMPOUND.findall(w)
 
 
 def _broken(lines: list[str]) -> list[tuple[int, str, str, str]]:
@@ -162,47 +222,17 @@ def _broken(lines: list[str]) -> list[tuple[int, str, str, str]]:
     return out
 
 
-def _vocabulary(pages: DataFrame) -> DataFrame:
-    """(word, shape, n, clean): counts of words and of compounds with their hyphens; clean are those off scanned pages."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        all_, clean = Counter(), Counter()
-
-        def flush() -> pd.DataFrame:
-            rows = [(w, shape(w), n, clean[w]) for w, n in all_.items()]
-            all_.clear()
-            clean.clear()
-            return pd.DataFrame(rows, columns=["word", "shape", "n", "clean"])
-
-        for batch in batches:
-            for t, method, skip in zip(batch["text"], batch["method"], batch["skip"]):
-                if not t:
-                    continue
-                lines = _body(t, set(skip) if skip is not None else set())
-                marked = [False] * len(lines)
-                for i, *_ in _broken(lines):
-                    marked[i] = True
-                words = [w.lower() for w in _words(lines, marked) if not w.isdigit()]
-                words += [w.lower() for line in lines for w in _COMPOUND.findall(line)]
-                all_.update(words)
-                if method and method != "ocr":
-                    clean.update(words)
-            if len(all_) > 200_000:
-                yield flush()
-        yield flush()
-
-    seen = pages.select("text", "method", "skip").mapInPandas(count, "word string, shape string, n long, clean long")
-    return seen.groupBy("word", "shape").agg(F.sum("n").alias("n"), F.sum("clean").alias("clean"))
-
-
 def analysed(df: DataFrame, key: str = "page_id", text: str = "text", source: str = "source_rel", page: str = "page_num", method: str = "method") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(pages, furniture, broken words with `joined` or not, misread words with their `right` form)."""
+    """(pages, furniture, broken words with `joined` or not, misread words with their `right` form).
+
+    The texts are read twice: once for edge lines and the vocabulary, once for the words that the vocabulary judges.
+    """
     file = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))  # never null: joins drop null keys
-    rows = df.select(F.col(key).alias("page"), file.alias("file"), F.coalesce(F.col(page), F.lit(0)).alias("page_num"), F.col(method).cast("string").alias("method"), F.col(text).alias("text"))
-    edges = cut(furniture(rows), "furniture")
-    skip = edges.groupBy("page").agg(F.collect_set("line_no").alias("skip"))
-    pages = cut(rows.join(skip, "page", "left"), "pages")
-    words = cut(_vocabulary(pages), "vocabulary")
+    pages = df.select(F.col(key).alias("page"), file.alias("file"), F.coalesce(F.col(page), F.lit(0)).cast("int").alias("page_num"), F.col(method).cast("string").alias("method"), F.col(text).alias("text"))
+    first = cut(first_pass(pages), "first")
+    size = pages.groupBy("file").agg(F.countDistinct("page_num").alias("pages"))
+    edges = cut(furniture(first.where("kind = 'edge'"), size), "furniture")
+    words = cut(first.where("kind = 'word'").groupBy("word", "shape").agg(F.sum("n").alias("n"), F.sum("clean").alias("clean")), "vocabulary")
     best = words.where(~F.col("word").contains("-") & F.col("word").rlike(r"^\p{L}+$")).groupBy("shape").agg(F.max_by("word", F.struct("clean", "n", "word")).alias("right"), F.max("clean").alias("right_clean"), F.max("n").alias("right_n"))
     odd = F.col("word").rlike(r"[^\p{L}\p{M}]")
     long = F.when(odd, F.length("word") >= 2).otherwise(F.length("word") >= 4)
@@ -213,24 +243,34 @@ def analysed(df: DataFrame, key: str = "page_id", text: str = "text", source: st
     usual = df.sparkSession.sparkContext.broadcast(common)
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        known = usual.value
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             out = []
-            for p, t, skip_lines in zip(batch["page"], batch["text"], batch["skip"]):
+            for p, t in zip(batch["page"], batch["text"]):
                 if not t:
                     continue
-                lines = _body(t, set(skip_lines) if skip_lines is not None else set())
-                marked = [False] * len(lines)
-                for i, left, mark, right in _broken(lines):
-                    marked[i] = True
+                lines = t.split("\n")
+                broken = _broken(lines) if _CUT.search(t) else []
+                for i, left, mark, right in broken:
                     l, r = left.lower(), right.lower()
                     tail = l.rpartition("-")[2]
                     out.append((p, "broken", i, tail + r, f"{l}-{r}", tail, r, mark))
-                for w in {x.lower() for x in _words(lines, marked) if not x.isdigit()} - usual.value:
-                    out.append((p, "word", -1, w, None, None, None, "number" if _NUMBER.fullmatch(w.replace("o", "O").replace("s", "S").replace("i", "I")) else None))
+                rare = {w for w in whole_words(t, lines, broken) if w not in known and "-" not in w}
+                if rare:  # where a word stands in the lines between the edges, those decide; else the edge line
+                    edge = {i for i, _, _ in edge_places(lines)}
+                    inner = rare.intersection(_TOKEN.findall("\n".join(x for i, x in enumerate(lines) if i not in edge).lower()))
+                    rows = [(-1, w) for w in inner]
+                    if rest := rare - inner:
+                        rows += [(i, w) for i in edge for w in rest.intersection(_TOKEN.findall(lines[i].lower()))]
+                    out += [(p, "word", i, w, None, None, None, "number" if _NUMBER.fullmatch(w.replace("o", "O").replace("s", "S").replace("i", "I")) else None) for i, w in rows]
             yield pd.DataFrame(out, columns=["page", "kind", "line", "word", "compound", "left", "right_part", "mark"])
 
-    kind = rows.schema["page"].dataType.simpleString()
-    seen = cut(pages.select("page", "text", "skip").mapInPandas(look, f"page {kind}, kind string, line int, word string, compound string, left string, right_part string, mark string"), "seen")
+    kind = pages.schema["page"].dataType.simpleString()
+    rows = pages.select("page", "text").mapInPandas(look, f"page {kind}, kind string, line int, word string, compound string, left string, right_part string, mark string")
+    # neither words of running lines nor words cut before or after one count
+    gone = edges.select("page", F.col("line_no").alias("line")).distinct()
+    gone = gone.withColumn("kind", F.lit("word")).unionByName(gone.select("page", F.explode(F.array(F.col("line") - 1, F.col("line"))).alias("line"), F.lit("broken").alias("kind")).distinct())
+    seen = cut(rows.join(gone, ["page", "line", "kind"], "left_anti"), "seen")
 
     @F.pandas_udf("string")
     def shapes(w: pd.Series) -> pd.Series:
@@ -284,6 +324,7 @@ def readable(df: DataFrame, **columns: str) -> DataFrame:
     Only pages with noise are rewritten; the others, and null or empty texts, stay as they are.
     """
     pages, edges, broken, misread = analysed(df, **columns)
+    pages = pages.join(edges.groupBy("page").agg(F.collect_set("line_no").alias("skip")), "page", "left")
     joins = broken.groupBy("page").agg(F.collect_set(F.struct("line", "joined")).alias("breaks"))
     fixes = misread.groupBy("page").agg(F.collect_set(F.struct("word", "right")).alias("fixes"))
     held = edges.select("page").unionByName(broken.where("joined").select("page")).unionByName(misread.select("page")).distinct().withColumn("noisy", F.lit(True))
@@ -305,24 +346,25 @@ def readable(df: DataFrame, **columns: str) -> DataFrame:
     return whole.select(F.col("page").alias(columns.get("key", "page_id")), text.alias("text"))
 
 
-def _paragraphs(lines: list[str], joined: dict[int, bool], right: dict[str, str | None]) -> str:
-    width = max((len(x) for x in lines), default=0)
-    out, current = [], ""
-    for i, line in enumerate(lines):
+def _paragraphs(lines: list[tuple[int, str]], joined: dict[int, bool], right: dict[str, str | None]) -> str:
+    width = max((len(x) for _, x in lines), default=0)
+    out, current, above = [], "", (-1, "")
+    for i, line in lines:
         if not line.strip():
             out.append(current)
             current = ""
         elif not current:
             current = line.strip()
-        elif joined.get(i - 1) is True:
+        elif joined.get(above[0]) is True:
             current = re.sub(r"[-\u2010\u00ad¬–=~]$", "", current) + line.strip()
-        elif joined.get(i - 1) is False:
+        elif joined.get(above[0]) is False:
             current += line.strip()
-        elif len(lines[i - 1].rstrip()) < 0.6 * width and current[-1] in ".?!":  # a short last line ends a paragraph
+        elif len(above[1].rstrip()) < 0.6 * width and current[-1] in ".?!":  # a short last line ends a paragraph
             out.append(current)
             current = line.strip()
         else:
             current += " " + line.strip()
+        above = (i, line)
     text = "\n\n".join(x for x in [*out, current] if x)
 
     def put(m: re.Match) -> str:
