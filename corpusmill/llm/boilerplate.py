@@ -28,6 +28,7 @@ SHARE, LEAST_FILES = 0.1, 4
 #: Seed of Spark's xxhash64; identifiers are made by it and in Python alike.
 SEED = 42
 _NOT_LETTER = re.compile(r"[\W\d_]+")
+_OTHER_LETTER = re.compile("[" + "".join(chr(c) for c in range(0x370, 0x530) if c not in TABLE) + "]")
 _LATIN = re.compile(r"[A-Za-zÀ-ʯ]")
 _MARKED = re.compile("[\u0300-\u036f\u0600-\u06ff\u0900-\u0dff]")
 
@@ -37,7 +38,7 @@ def wording(line: str) -> str:
     if line.isascii():
         return _NOT_LETTER.sub("", line).lower()
     folded = fold(line).lower()
-    if any("\u0370" <= c <= "\u052f" and ord(c) not in TABLE for c in line):  # a line that is written in another script
+    if _OTHER_LETTER.search(line):  # a line that is written in another script
         folded = " ".join(fold(w).lower() if _LATIN.search(w) else fold(w.lower()) for w in line.split())
     folded = unicodedata.normalize("NFC", folded)
     if _MARKED.search(folded):

@@ -56,9 +56,29 @@ def suspect(text: str) -> bool:
     return _SUSPECT.search(text) is not None or (_OTHER_SCRIPT.search(text) is not None and _MIXED.search(text) is not None)
 
 
+def _folded(text: str) -> str:
+    text = text.translate(TABLE)
+    return unicodedata.normalize("NFC", text).translate(TABLE) if not unicodedata.is_normalized("NFC", text) else text
+
+
+class _Folded(dict):
+    """Short pieces and their folded form; it only saves work."""
+
+    def __missing__(self, piece: str) -> str:
+        new = _folded(piece)
+        if len(piece) <= 24:
+            if len(self) > 100_000:
+                self.clear()
+            self[piece] = new
+        return new
+
+
+_PIECE = re.compile("[A-Za-z]?[^\x00-\x7f]+")  # an ASCII letter may carry the accents that follow it
+_FOLDED = _Folded()
+
+
 def fold(text: str) -> str:
     """The form of a text in which equal means looking the same."""
     if text.isascii():
         return text
-    text = text.translate(TABLE)
-    return unicodedata.normalize("NFC", text).translate(TABLE) if not unicodedata.is_normalized("NFC", text) else text
+    return _PIECE.sub(lambda m: _FOLDED[m[0]], text)
