@@ -1,10 +1,10 @@
 """Problem 3: text that looks the same comes out in one form.
 
-The words of the corpus form tries, one for each shard of look-alike classes. A word with suspect characters walks
-through its trie with a weighted edit automaton: look-alike characters, ligatures and ignorable characters cost nothing,
-everything else costs 1, and only walks within the budget (0) reach a spelling. Of the spellings reached the canonical
-one is taken: a spelling without suspect characters first, else the most frequent, else the smallest. Words that reach
-none, and everything between words, are normalised by the look-alike table.
+The words of the corpus form tries, one for each range of words that begin and end alike and are about as long. A word with
+suspect characters walks through the trie of its range with a weighted edit automaton: look-alike characters, ligatures and
+ignorable characters cost nothing, everything else costs 1, and only walks within the budget (0) reach a spelling. Of the
+spellings reached the canonical one is taken: a spelling without suspect characters first, else the most frequent, else
+the smallest. Words that reach none, and everything between words, are normalised by the look-alike table.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .lookalike import INVISIBLE, TABLE, fold, suspect
-from .shared import cut
+from .shared import cut, looked_up, slices
 
-#: Longest word the tries hold, in folded characters; longer runs without a space are normalised by the table alone.
-LONGEST = 64
+#: Printed characters at either end of a word that, with its length, tell its range, and words of a range.
+ENDS, RANGE_WORDS = 2, 10_000
 _LETTER = r"(?:[^\W_]|[\u0300-\u036f\u0900-\u0903\u093c-\u094d\u0951-\u0957\u0962\u0963" + INVISIBLE + r"])"
 _WORD = re.compile(_LETTER + "+")
 _ONE_SCRIPT = re.compile("[Ѐ-ԯ0-9]+|[Ͱ-Ͽ0-9]+")
@@ -30,20 +30,19 @@ _ONE_SCRIPT = re.compile("[Ѐ-ԯ0-9]+|[Ͱ-Ͽ0-9]+")
 
 class Trie:
     """Spellings by their characters. A node is [word and count or None, {first printed character: [(what a character
-    prints as, the character, node below)]}]; characters that print as nothing stand under ''."""
+    prints as, node below)]}, {character: node below}]; characters that print as nothing stand under '' in the first."""
 
     def __init__(self) -> None:
-        self.root: list = [None, {}]
+        self.root: list = [None, {}, {}]
 
     def add(self, word: str, count: int) -> None:
         node = self.root
         for c in word:
-            brings = _brings(c)
-            branch = node[1].setdefault(brings[:1], [])
-            below = next((n for _, other, n in branch if other == c), None)
+            below = node[2].get(c)
             if below is None:
-                below = [None, {}]
-                branch.append((brings, c, below))
+                below = node[2][c] = [None, {}, {}]
+                brings = _BRINGS[c]
+                node[1].setdefault(brings[:1], []).append((brings, below))
             node = below
         node[0] = (word, (node[0][1] if node[0] else 0) + count)
 
@@ -53,7 +52,7 @@ class Trie:
         A state is (cost, node, place in the word); look-alikes, ligatures and ignorable characters move it on at no
         cost, a character that is missing, added or another one costs 1.
         """
-        text = unicodedata.normalize("NFD", word.translate(TABLE))
+        text = printed(word)
         best: dict[tuple[int, int], int] = {}
         found: dict[str, tuple[int, int]] = {}
         todo = [(0, self.root, 0)]
@@ -65,28 +64,39 @@ class Trie:
             if i == len(text) and node[0]:
                 spelling, count = node[0]
                 found[spelling] = min(found.get(spelling, (cost, count)), (cost, count))
-            for _, _, below in node[1].get("", ()):
+            for _, below in node[1].get("", ()):
                 todo.append((cost, below, i))
-            for brings, _, below in node[1].get(text[i : i + 1], ()) if i < len(text) else ():
+            for brings, below in node[1].get(text[i], ()) if i < len(text) else ():
                 if text.startswith(brings, i):
                     todo.append((cost, below, i + len(brings)))
             if cost < budget:
                 if i < len(text):
                     todo.append((cost + 1, node, i + 1))
-                for branch in node[1].values():
-                    for _, _, below in branch:
-                        todo += [(cost + 1, below, i), (cost + 1, below, min(len(text), i + 1))]
+                for below in node[2].values():
+                    todo += [(cost + 1, below, i), (cost + 1, below, min(len(text), i + 1))]
         return [(cost, w, n) for w, (cost, n) in found.items()]
 
 
-_BRINGS: dict[str, str] = {}
+class _Brings(dict):
+    """What a character of a spelling prints as, accents split off: '' for ignorable ones."""
 
+    def __missing__(self, c: str) -> str:
+        self[c] = printed(c)
+        return self[c]
 
-def _brings(c: str) -> str:
-    """What a character of a spelling prints as, accents split off: '' for ignorable ones."""
-    if c not in _BRINGS:
-        _BRINGS[c] = unicodedata.normalize("NFD", c.translate(TABLE))
-    return _BRINGS[c]
+
+def printed(word: str) -> str:
+    """The characters a word prints as, accents split off."""
+    return word if word.isascii() else unicodedata.normalize("NFD", word.translate(TABLE))
+
+
+_BRINGS = _Brings()
+
+
+def range_key(word: str) -> str:
+    """How a word begins and ends in print, and its length: coarser than looking alike; the automaton decides the rest."""
+    p = printed(word)
+    return f"{p[:ENDS]}{p[-ENDS:]}{len(p)}"
 
 
 def _standing(word: str) -> int:
@@ -121,7 +131,7 @@ def is_suspect(text: Column, heading: Column) -> Column:
 
 
 def vocabulary(df: DataFrame, *texts: str) -> DataFrame:
-    """(word, look, suspect, count) of every word up to LONGEST characters, counted inside the tasks before the shuffle."""
+    """(word, range, suspect, count) of every word, counted inside the tasks before the shuffle."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         raw: Counter = Counter()
@@ -129,48 +139,47 @@ def vocabulary(df: DataFrame, *texts: str) -> DataFrame:
         def flush() -> pd.DataFrame:
             words: Counter = Counter()
             for token, n in raw.items():
-                if len(token) <= 4 * LONGEST:
-                    for w in _WORD.findall(token):
-                        words[w] += n
+                for w in _WORD.findall(token):
+                    words[w] += n
             raw.clear()
-            kept = [(w, look, suspect(w), n) for w, n in words.items() if len(look := fold(w)) <= LONGEST and not look.isdigit()]
-            return pd.DataFrame(kept, columns=["word", "look", "suspect", "count"])
-
-        for batch in batches:
-            for c in batch.columns:
-                for t in batch[c]:
-                    if t:
-                        raw.update(t.split())
+            kept = [(w, range_key(w), suspect(w), n) for w, n in words.items() if not w.isdigit()]
+            return pd.DataFrame(kept, columns=["word", "range", "suspect", "count"])
+
+        for batch in (part for whole in batches for c in whole.columns for part in slices(whole[[c]], c)):
+            for t in batch.iloc[:, 0]:
+                if t:
+                    raw.update(t.split())
             if len(raw) > 200_000:
                 yield flush()
         yield flush()
 
-    seen = df.select(*texts).mapInPandas(count, "word string, look string, suspect boolean, count long")
-    return seen.groupBy("word", "look", "suspect").agg(F.sum("count").alias("count"))
+    seen = df.select(*texts).mapInPandas(count, "word string, range string, suspect boolean, count long")
+    return seen.groupBy("word", "range", "suspect").agg(F.sum("count").alias("count"))
 
 
 def spellings(df: DataFrame, *texts: str) -> DataFrame:
-    """(word, canonical) of every word with suspect characters whose canonical spelling is another one.
+    """(word, canonical) of every word with suspect characters, with its canonical spelling.
 
-    Tries are built by shards of the look-alike classes, as many as spark.sql.shuffle.partitions has, so no shard grows
-    beyond its part of the vocabulary. Only classes that hold a suspect word enter.
+    Ranges without a suspect word are left out. The others are dealt, in order, over as many tries as RANGE_WORDS asks
+    for, so the tries grow in number with the vocabulary, not in size, and a range is never parted.
     """
-    words = vocabulary(df, *texts)
-    classes = words.where("suspect").select("look").distinct()
-    shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    sharded = words.join(classes, "look", "left_semi").withColumn("shard", F.pmod(F.xxhash64("look"), F.lit(4 * shards))).repartition(shards, "shard")
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        trie = Trie()
-        for w, n in zip(rows["word"], rows["count"]):
-            trie.add(w, int(n))
-        out = []
-        for w in rows["word"][rows["suspect"]]:
-            c = canonical_of(trie.reach(w), w)
-            out.append((w, c))
-        return pd.DataFrame(out, columns=["word", "canonical"])
+    words = cut(vocabulary(df, *texts), "words")
+    asked = words.where("suspect").select("range").distinct()
+    near = cut(words.join(asked, "range", "left_semi"), "near")
+    tries = max(1, -(-near.count() // RANGE_WORDS))
 
-    return sharded.groupBy("shard").applyInPandas(walk, "word string, canonical string")
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trie, asked = Trie(), []
+        for rows in batches:
+            for w, odd, n in zip(rows["word"], rows["suspect"], rows["count"]):
+                trie.add(w, int(n))
+                if odd:
+                    asked.append(w)
+        for at in range(0, len(asked), 10_000):
+            part = asked[at : at + 10_000]
+            yield pd.DataFrame({"word": part, "canonical": [canonical_of(trie.reach(w), w) for w in part]})
+
+    return near.repartitionByRange(tries, "range").select("word", "suspect", "count").mapInPandas(walk, "word string, canonical string")
 
 
 def rewrite(text: str | None, canonical: dict[str, str]) -> str | None:
@@ -225,26 +234,35 @@ def _rewritten(slim: DataFrame) -> DataFrame:
     return rows.join(known, "_row", "left").withColumn("_new", rewritten("_text", "_heading", "_pairs"))
 
 
-def alike_pairs(df: DataFrame, key: str = "chunk_seq", text: str = "text", heading: str = "heading") -> DataFrame:
-    """(key_a, key_b), a < b: pairs of rows that look the same in print but differ in at least one character.
+def alike_classes(df: DataFrame, key: str = "chunk_seq", text: str = "text", heading: str = "heading") -> DataFrame:
+    """(key, class_id, writing_id): every row that looks like a row written in another way.
 
-    Null counts as the empty text. Only groups that hold two different writings are joined. Empty input gives no rows.
+    Rows of one class look the same in print; rows of one writing are the same in every character. class_id and
+    writing_id are the least keys of the class and of the writing. Null counts as the empty text. Empty input gives no
+    rows.
     """
     slim = df.select(F.col(key).alias("_key"), F.col(heading).alias("_heading"), F.col(text).alias("_text"))
     raw, form = _both(F.col("_heading"), F.col("_text")), _both(F.col("_new.heading"), F.col("_new.text"))
     new = cut(_rewritten(slim).select(F.col("_key").alias("_id"), F.xxhash64(form).alias("look"), F.sha1(form).alias("print"), F.sha1(raw).alias("writing")), "looks")
-    # a group with two writings holds at least one row that was rewritten; a row as it stands joins the group of its text
+    # a class with two writings holds at least one row that was rewritten; a row as it stands joins the class of its text
     odd = new.where("print <> writing").select("look").distinct()
     standing = slim.select(F.col("_key").alias("_id"), F.xxhash64(raw).alias("look"), F.sha1(raw).alias("writing")).join(odd, "look", "left_semi")
     members = new.join(odd, "look", "left_semi").select("_id", "print", "writing")
     members = cut(members.unionByName(standing.select("_id", F.col("writing").alias("print"), "writing")).distinct(), "members")
-    # writings are paired, not rows: copies of one writing, however many, never meet each other
-    writings = members.select("print", "writing").distinct()
-    other = writings.select("print", F.col("writing").alias("writing_b"))
-    pairs = writings.join(other, "print").where("writing <> writing_b")
-    a = members.select("print", "writing", F.col("_id").alias(f"{key}_a"))
-    b = members.select("print", F.col("writing").alias("writing_b"), F.col("_id").alias(f"{key}_b"))
-    both = a.join(pairs, ["print", "writing"]).join(b, ["print", "writing_b"])
+    writings = members.groupBy("print", "writing").agg(F.min("_id").alias("writing_id"))
+    classes = writings.groupBy("print").agg(F.min("writing_id").alias("class_id"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    told = cut(writings.join(classes, "print"), "writings")
+    return looked_up(members, told, ["print", "writing"], F.col("_id"), told.count()).select(F.col("_id").alias(key), "class_id", "writing_id")
+
+
+def alike_pairs(df: DataFrame, key: str = "chunk_seq", text: str = "text", heading: str = "heading") -> DataFrame:
+    """(key_a, key_b), a < b: pairs of rows that look the same in print but differ in at least one character, out of the
+    classes: writings are paired, not rows, so copies of one writing, however many, never meet each other."""
+    rows = cut(alike_classes(df, key, text, heading), "classes")
+    writings = rows.select("class_id", "writing_id").distinct()
+    pairs = writings.join(writings.select("class_id", F.col("writing_id").alias("other_id")), "class_id").where("writing_id <> other_id")
+    a, b = rows.select("writing_id", F.col(key).alias(f"{key}_a")), rows.select(F.col("writing_id").alias("other_id"), F.col(key).alias(f"{key}_b"))
+    both = a.join(pairs, "writing_id").join(b, "other_id")
     return both.where(F.col(f"{key}_a") < F.col(f"{key}_b")).select(f"{key}_a", f"{key}_b").distinct()
 
 

@@ -1,11 +1,13 @@
 """Problem 6: evaluation texts inside documents.
 
-Containment search by MinHash, partitioned by size: every test text is cut into windows of SPAN words, every document
-into overlapping blocks, and both into sets of five-word shingles. The sets of one size class share a number of MinHash
-bins (one permutation, as many bins as four times the class's upper size); a set's signature is the least hash in each
-bin. A block that agrees with a test window in a bin becomes a candidate for the test item. Candidates are verified by the
-exact shingles they share and an alignment: some stretch of at least SPAN words of the item must stand in the document, in
-order, with at most one word in eight changed, dropped or added.
+Containment search by MinHash, partitioned by size. Test texts are told apart by their number of five-word shingles: those
+up to the first size are one set each, longer ones are covered by overlapping windows of the next size. Documents are
+covered, for each size, by overlapping blocks of twice that size, so that a short test text is held against blocks of its own
+order whatever the document's length. A case shares at least LEAST_SHARED shingles with a window, so the containment
+asked for is LEAST_SHARED / size; as the sizes of both sets are known it is a Jaccard similarity too, and the bands of the
+PERMUTATIONS minima are as wide as lets RECALL of the pairs at that similarity agree in a band. Pairs that agree are
+verified by the exact shingles they share and an alignment: some stretch of at least SPAN words of the item must stand in
+the document, in order, with at most one word in eight changed, dropped or added.
 """
 
 from __future__ import annotations
@@ -13,8 +15,9 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,9 +29,11 @@ from .lookalike import fold, suspect
 from .shared import slices
 
 SHINGLE, SPAN, EDITS = 5, 15, 8
-#: Upper sizes, in shingles, of the size classes of blocks.
-CLASSES = (16, 32, 64)
-BLOCK_ROWS = 20_000
+#: Sizes of the partitions in shingles, minima of a set, pairs that must be found, and shingles that any case shares: 16
+#: words of which two are changed leave 14 in three runs, at best 5, 5 and 4 (15 words with one changed leave more).
+SIZES, PERMUTATIONS, RECALL, LEAST_SHARED = (16, 24), 160, 0.99, 2
+#: Characters of test texts in one index, and indexes that one pass over the documents probes.
+BLOCK_CHARACTERS, AT_ONCE = 2_000_000, 4
 SHARED_OPENING = 3
 
 # Tags of any length are told by their attributes (prose between < and > is none), short ones and addresses by the brackets.
@@ -79,17 +84,42 @@ def _roll(ids: np.ndarray) -> np.ndarray:
     return h
 
 
-def signatures(shingles: np.ndarray, groups: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
-    """(group, MinHash value) of each bin that is not empty: the least hash of a group in each of `bins` bins.
+def _permutations() -> tuple[np.ndarray, np.ndarray]:
+    r = np.random.default_rng(11)
+    return r.integers(1, 1 << 32, PERMUTATIONS, dtype=np.uint32), r.integers(0, 1 << 31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+_FLIP, _TIMES = _permutations()
+
+
+def signatures(shingles: np.ndarray, starts: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """(PERMUTATIONS, sets): the least value of each permutation in every set of `counts` (1 to `size`) shingles."""
+    # sets side by side, filled up with their last shingle
+    x = (shingles >> np.uint64(32)).astype(np.uint32)[starts + np.minimum(np.arange(size)[:, None], counts - 1)]
+    out, held = np.empty((PERMUTATIONS, len(starts)), np.uint32), np.empty_like(x)
+    for j in range(PERMUTATIONS):
+        np.bitwise_xor(x, _FLIP[j], out=held)
+        np.multiply(held, _TIMES[j], out=held)
+        held.min(0, out=out[j])
+    return out
+
+
+def similarity(size: int) -> float:
+    """Jaccard similarity of a window of `size` shingles and a block of twice as many that share LEAST_SHARED."""
+    return LEAST_SHARED / (3 * size - LEAST_SHARED)
 
-    The bin is part of the value (its low bits), so equal values are equal minima of the same bin.
-    """
-    bin_of = shingles & np.uint64(bins - 1)
-    order = np.lexsort((shingles, bin_of, groups))
-    g, b, s = groups[order], bin_of[order], shingles[order]
-    first = np.ones(len(g), bool)
-    first[1:] = (g[1:] != g[:-1]) | (b[1:] != b[:-1])
-    return g[first], s[first]
+
+def rows_of_a_band(size: int) -> int:
+    """The most rows with which RECALL of the pairs at a size's similarity agree in some band; at least 1."""
+    return max([1, *(r for r in range(1, 9) if 1 - (1 - similarity(size) ** r) ** (PERMUTATIONS // r) >= RECALL)])
+
+
+def bands(signature: np.ndarray, rows: int) -> np.ndarray:
+    """(bands, sets): one value for the minima of each band."""
+    value = signature[0::rows][: PERMUTATIONS // rows].copy()
+    for k in range(1, rows):
+        value = value * np.uint32(0x9E3779B1) ^ signature[k::rows][: PERMUTATIONS // rows]
+    return value
 
 
 def _opening(question: str | None) -> tuple[str | None, str | None]:
@@ -131,7 +161,7 @@ def item_texts(items: list, stock: set[tuple[str, ...]] | None = None) -> list[t
 
 
 class Index:
-    """MinHash signatures of the windows of one block of test texts."""
+    """Bands of the windows of one block of test texts, for each size, and the texts' exact shingles."""
 
     def __init__(self, texts: list[tuple[str, list[str]]]) -> None:
         by_words: dict[tuple[str, ...], set[str]] = defaultdict(set)
@@ -139,72 +169,70 @@ class Index:
             by_words[tuple(w)].add(item)
         self.texts = [(list(w), sorted(items)) for w, items in by_words.items()]
         cache: dict[str, int] = {}
-        shingles, groups, owner = [], [], []
+        self.shingles = []
+        parts: dict[int, list[tuple[np.ndarray, int]]] = {size: [] for size in SIZES}
         for t, (w, _) in enumerate(self.texts):
             h = _hashes(w, cache)
-            width = SPAN - SHINGLE + 1
-            for start in {*range(0, max(1, len(h) - width + 1), max(1, width // 2)), max(0, len(h) - width)}:
-                part = h[start : start + width]
-                shingles.append(part)
-                groups.append(np.full(len(part), len(owner)))
-                owner.append(t)
-        self.signature, every = {}, [np.empty(0, np.uint64)]
-        s = np.concatenate(shingles) if shingles else np.empty(0, np.uint64)
-        g = np.concatenate(groups) if groups else np.empty(0, np.int64)
-        owners = np.asarray(owner, np.int64)
-        for size in CLASSES:
-            gg, values = signatures(s, g, 4 * size)
-            pairs = np.unique(np.stack([values, owners[gg].astype(np.uint64)]), axis=1) if len(values) else np.empty((2, 0), np.uint64)
-            self.signature[size] = pairs
-            every.append(pairs[0])
-        self.values = np.unique(np.concatenate(every))
-        self.bits = np.zeros(1 << 24, bool)
-        self.bits[self.values >> np.uint64(40)] = True
-        self.grams: list[dict[tuple[str, ...], list[int]]] = []
-        for w, _ in self.texts:
-            places: dict[tuple[str, ...], list[int]] = defaultdict(list)
-            for i in range(len(w) - SHINGLE + 1):
-                places[tuple(w[i : i + SHINGLE])].append(i)
-            self.grams.append(dict(places))
-
-    def candidates(self, shingles: np.ndarray, doc: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
-        """(document, text) pairs whose blocks agree with a window in a bin of their size class."""
+            order = np.argsort(h, kind="stable")
+            self.shingles.append((h[order], order))
+            size = next((s for s in SIZES if len(h) <= s), SIZES[-1])
+            for start in {*range(0, max(1, len(h) - size + 1), size // 2), max(0, len(h) - size)}:
+                parts[size].append((h[start : start + size], t))
+        self.bands = {}
+        for size, sets in parts.items():
+            if sets:
+                counts = np.asarray([len(x) for x, _ in sets])
+                values = bands(signatures(np.concatenate([x for x, _ in sets]), np.cumsum(counts) - counts, counts, size), rows_of_a_band(size))
+                order, owner = np.argsort(values, axis=1), np.asarray([t for _, t in sets])
+                known = np.zeros((len(values), 1 << 16), bool)
+                known[np.arange(len(values))[:, None], values >> np.uint32(16)] = True
+                self.bands[size] = (np.take_along_axis(values, order, 1), owner[order], known)
+
+    def candidates(self, shingles: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]]:
+        """(document, text) pairs of which a block and a window agree in a band; counts are the documents' shingles."""
         found: set[tuple[int, int]] = set()
-        # a document none of whose shingles is a least hash of a window agrees with none
-        maybe = np.flatnonzero(self.bits[shingles >> np.uint64(40)])
-        hits = maybe[np.isin(shingles[maybe], self.values)]
-        if not len(hits):
-            return []
-        near = np.zeros(int(doc[-1]) + 1, bool)
-        near[doc[hits]] = True
-        shingles, doc, sizes = (x[near[doc]] for x in (shingles, doc, sizes))
-        for size in CLASSES:
-            low = CLASSES[CLASSES.index(size) - 1] if size != CLASSES[0] else 0
-            mine = (sizes > low) & ((sizes <= size) if size != CLASSES[-1] else True)
-            if not mine.any() or not len(self.signature[size][0]):
-                continue
-            s, d = shingles[mine], doc[mine]
-            # blocks of `size` shingles that start every half block, each document by itself
-            begin = np.r_[True, d[1:] != d[:-1]]
-            at = np.arange(len(d)) - np.maximum.accumulate(np.where(begin, np.arange(len(d)), 0))
-            values, texts = self.signature[size]
-            for shift in (0, size // 2):
-                groups = d * (1 << 32) + (at + shift) // size
-                g, v = signatures(s, groups, 4 * size)
-                i, j = np.searchsorted(values, v, "left"), np.searchsorted(values, v, "right")
+        for size, blocks in document_blocks(shingles, counts, tuple(self.bands)).items():
+            doc, values = blocks
+            for band, (mine, (sorted_, owner, known)) in enumerate(zip(values, zip(*self.bands[size]))):
+                maybe = np.flatnonzero(known[mine >> np.uint32(16)])
+                i, j = np.searchsorted(sorted_, mine[maybe], "left"), np.searchsorted(sorted_, mine[maybe], "right")
                 for k in np.flatnonzero(j > i):
-                    found.update((int(g[k] >> 32), int(t)) for t in texts[i[k] : j[k]])
+                    found.update((int(doc[maybe[k]]), int(t)) for t in owner[i[k] : j[k]])
         return sorted(found)
 
-    def verified(self, words: list[str], text: int) -> bool:
-        """Whether at least SPAN consecutive words of the text stand in `words` with at most one in EDITS changed."""
-        item, grams = self.texts[text][0], self.grams[text]
-        seeds = [(i, p) for i in range(len(words) - SHINGLE + 1) if (w := words[i]) and (q := grams.get(tuple(words[i : i + SHINGLE]))) for p in q]
-        return _aligned(words, item, seeds)
+    def verified(self, words: list[str], shingles: np.ndarray, text: int) -> int:
+        """Exact shingles that a document shares with a text, where at least SPAN consecutive words of the text stand in
+        it with at most one in EDITS changed; 0 otherwise."""
+        values, places = self.shingles[text]
+        i, j = np.searchsorted(values, shingles, "left"), np.searchsorted(values, shingles, "right")
+        hits = np.flatnonzero(j > i)
+        seeds = [(int(at), int(p)) for at in hits for p in places[i[at] : j[at]]]
+        return len(hits) if _aligned(words, self.texts[text][0], seeds) else 0
+
+
+def document_blocks(shingles: np.ndarray, counts: np.ndarray, sizes: tuple[int, ...]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each size (document, bands) of the blocks of twice the size that start every `size` shingles."""
+    out, begin = {}, np.cumsum(counts) - counts
+    for size in sizes:
+        halves = -(-counts // size)
+        doc = np.repeat(np.arange(len(counts)), halves)
+        step = np.arange(len(doc)) - np.repeat(np.cumsum(halves) - halves, halves)
+        least = signatures(shingles, begin[doc] + step * size, np.minimum(counts[doc] - step * size, size), size)
+        pair = np.flatnonzero(np.r_[doc[1:] == doc[:-1], False])
+        least[:, pair] = np.minimum(least[:, pair], least[:, pair + 1])
+        keep = np.ones(len(doc), bool)
+        keep[pair + 1] = False  # the last half stands in the block before it
+        keep[pair] = True
+        out[size] = (doc[keep], bands(least[:, keep], rows_of_a_band(size)))
+    return out
 
 
 def _aligned(words: list[str], item: list[str], seeds: list[tuple[int, int]]) -> bool:
-    """Grow each run of equal words on both sides; a change, a drop and an addition cost one each."""
+    """Grow each run of equal words on both sides; a change, a drop and an addition cost one each.
+
+    No stretch needs to be looked at beyond 3 * SPAN words of the item on either side: of a stretch of 2 * SPAN words or
+    more with at most one edit in EDITS, cut in two, one part has no more than that and is long enough.
+    """
     runs, seen = [], set()
     for i, p in sorted(seeds, key=lambda s: (s[0] - s[1], s[0])):
         if (i, p) in seen:
@@ -257,33 +285,34 @@ def _grow(words: list[str], item: list[str]) -> list[tuple[int, int]]:
     return out or [(0, 0)]
 
 
-def leaked_items(documents: DataFrame, items: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def leaked_items(documents: DataFrame, items: DataFrame, block_characters: int = BLOCK_CHARACTERS) -> DataFrame:
     """(doc_id, item_id, shared_shingles) of every document that holds a passage or question of a test item.
 
-    The test items are a stated query set: they are read in blocks of at most `block_rows` rows, each of which goes over
-    all documents, so what is sent to the tasks is bounded whatever their number; stock openings are counted over all
-    items, and the driver holds those. Null texts, passages and ids of items
-    hold nothing; texts shorter than SPAN words cannot be a case; repeated documents each get their rows. A passage
-    shared by several items names them all. Neither side's other columns are read.
+    The test items are a stated query set: they are dealt into blocks of about block_characters characters, and AT_ONCE
+    blocks go over all documents in one pass, so what is sent to a task is bounded whatever their number; stock openings
+    are counted over all items, and the driver holds those. Null texts, passages and ids of items hold nothing; texts
+    shorter than SPAN words cannot be a case; repeated documents each get their rows. A passage shared by several items
+    names them all. Neither side's other columns are read.
     """
     spark = documents.sparkSession
     listed = items.select("item_id", "question", "passage").where("item_id IS NOT NULL").distinct()
-    n = listed.count()
-    parts = max(1, -(-n // block_rows))
-    rows = listed.withColumn("_part", F.pmod(F.xxhash64("item_id"), F.lit(parts))) if parts > 1 else listed.withColumn("_part", F.lit(0))
+    size = F.length(F.concat_ws(" ", "question", "passage"))
+    n, characters = listed.agg(F.count("*"), F.sum(size)).first()
+    parts = max(1, min(n, -(-(characters or 0) // block_characters)))
+    rows = listed.withColumn("_part", F.pmod(F.xxhash64("item_id"), F.lit(parts)))
     kind = documents.schema["doc_id"].dataType.simpleString()
     stock = stock_openings(listed)
-    out = None
-    for part in range(parts):
-        index = spark.sparkContext.broadcast(Index(item_texts(rows.where(F.col("_part") == part).collect(), stock)))
-        found = documents.select("doc_id", "text").mapInPandas(_search(index), f"doc_id {kind}, item_id string, shared_shingles int")
-        out = found if out is None else out.unionByName(found)
-    return out.groupBy("doc_id", "item_id").agg(F.max("shared_shingles").alias("shared_shingles"))
+    passes = []
+    for first in range(0, parts, AT_ONCE):
+        some = [rows.where(F.col("_part") == part).collect() for part in range(first, min(parts, first + AT_ONCE))]
+        indexes = [spark.sparkContext.broadcast(Index(item_texts(x, stock))) for x in some]
+        passes.append(documents.select("doc_id", "text").mapInPandas(_search(indexes), f"doc_id {kind}, item_id string, shared_shingles int"))
+    return reduce(DataFrame.unionByName, passes).groupBy("doc_id", "item_id").agg(F.max("shared_shingles").alias("shared_shingles"))
 
 
-def _search(index):
+def _search(indexes: list):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        look, cache = index.value, {}
+        cache: dict[str, int] = {}
         for batch in (part for whole in batches for part in slices(whole, "text")):  # bounded lists of words
             ids, texts = batch["doc_id"].tolist(), batch["text"].tolist()
             plain = [words_of(t) for t in texts]
@@ -301,15 +330,14 @@ def _search(index):
             for e in ends[:-1]:
                 inside[e - SHINGLE + 1 : e] = False
             shingles = _roll(numbers)[inside]
-            doc = np.repeat(np.arange(len(readings)), counts)
+            begin = np.cumsum(counts) - counts
             hits: dict[tuple, int] = {}
-            for r, t in look.candidates(shingles, doc, np.repeat(counts, counts)):
-                i, words = readings[r]
-                if look.verified(words, t):
-                    grams = look.grams[t]
-                    shared = sum(tuple(words[k : k + SHINGLE]) in grams for k in range(len(words) - SHINGLE + 1))
-                    for item in look.texts[t][1]:
-                        hits[i, item] = max(hits.get((i, item), 0), shared)
+            for look in (index.value for index in indexes):
+                for r, t in look.candidates(shingles, counts):
+                    i, words = readings[r]
+                    if shared := look.verified(words, shingles[begin[r] : begin[r] + counts[r]], t):
+                        for item in look.texts[t][1]:
+                            hits[i, item] = max(hits.get((i, item), 0), shared)
             if hits:
                 yield pd.DataFrame([(ids[i], item, n) for (i, item), n in hits.items()], columns=["doc_id", "item_id", "shared_shingles"])
 

@@ -33,6 +33,10 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return canonical.alike_pairs(table(spark, d, "chunks"))
 
 
+def p3_classes(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.alike_classes(table(spark, d, "chunks"))
+
+
 def p3_canonical(spark: SparkSession, d: str) -> DataFrame:
     return canonical.canonical_texts(table(spark, d, "chunks"))
 
@@ -77,7 +81,7 @@ def p8_segments(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_pieces, p2_found, p2_repaired, p3_found, p3_canonical, p4_found, p4_without, p5_found, p5_readable, p6_found, p7_mixture, p7_shares, p8_found, p8_segments)
+    for f in (p1_found, p1_pieces, p2_found, p2_repaired, p3_found, p3_classes, p3_canonical, p4_found, p4_without, p5_found, p5_readable, p6_found, p7_mixture, p7_shares, p8_found, p8_segments)
 }
 
 _PATH = r"regexp_replace(regexp_replace(trim(source_file), '[\\/]+', '/', 'g'), '^(\./|/)+', '')"
@@ -96,16 +100,25 @@ def _look(text: str) -> str:
     return f"translate(nfc_normalize({once}), '{quoted[0]}', '{quoted[1]}')"
 
 
-ORACLES: dict[str, str] = {
-    "p1_found": "SELECT DISTINCT chunk_seq FROM chunks WHERE length(text) > 1600",
-    "p3_found": f"""
-WITH c AS (SELECT chunk_seq, coalesce(heading, '') || chr(1) || coalesce(text, '') AS raw FROM chunks), l AS (SELECT chunk_seq, raw, {_look('raw')} AS look FROM c)
-SELECT a.chunk_seq AS chunk_seq_a, b.chunk_seq AS chunk_seq_b FROM l a JOIN l b USING (look) WHERE a.chunk_seq < b.chunk_seq AND a.raw <> b.raw""",
-    "p4_found": f"""
-WITH f AS (SELECT chunk_seq, {_PATH} AS file, string_split(text, chr(10)) AS x FROM chunks), n AS (SELECT *, regexp_extract(file, '^[^/]*') AS site FROM f),
+_LOOKS = f"""c AS (SELECT chunk_seq, coalesce(heading, '') || chr(1) || coalesce(text, '') AS raw FROM chunks), l AS (SELECT chunk_seq, raw, {_look('raw')} AS look FROM c)"""
+_LISTED = f"""
+f AS (SELECT chunk_seq, {_PATH} AS file, string_split(text, chr(10)) AS x FROM chunks), n AS (SELECT *, regexp_extract(file, '^[^/]*') AS site FROM f),
 lines AS (SELECT chunk_seq, site, file, unnest(x) AS line, generate_subscripts(x, 1) AS line_no FROM n),
-w AS (SELECT chunk_seq, site, file, line_no::INTEGER AS line_no, regexp_replace(lower({_look('line')}), '[^\\p{{L}}\\p{{M}}]', '', 'g') AS wording FROM lines),
+w AS (SELECT chunk_seq, site, file, line, line_no::INTEGER AS line_no, regexp_replace(lower({_look('line')}), '[^\\p{{L}}\\p{{M}}]', '', 'g') AS wording FROM lines),
 sizes AS (SELECT site, count(DISTINCT file) AS files FROM n GROUP BY site),
-often AS (SELECT site, wording FROM w JOIN sizes USING (site) WHERE wording <> '' GROUP BY site, wording, files HAVING count(DISTINCT file) >= greatest(4, ceil(files * 0.1 - 1e-9)))
-SELECT DISTINCT chunk_seq, line_no FROM w SEMI JOIN often USING (site, wording)""",
+often AS (SELECT site, wording FROM w JOIN sizes USING (site) WHERE wording <> '' GROUP BY site, wording, files HAVING count(DISTINCT file) >= greatest(4, ceil(files * 0.1 - 1e-9)))"""
+
+ORACLES: dict[str, str] = {
+    "p1_found": "SELECT DISTINCT chunk_seq FROM chunks WHERE length(text) > 1600",
+    "p3_found": f"WITH {_LOOKS} SELECT a.chunk_seq AS chunk_seq_a, b.chunk_seq AS chunk_seq_b FROM l a JOIN l b USING (look) WHERE a.chunk_seq < b.chunk_seq AND a.raw <> b.raw",
+    "p3_classes": f"""
+WITH {_LOOKS}, more AS (SELECT look FROM l GROUP BY look HAVING count(DISTINCT raw) > 1)
+SELECT chunk_seq, min(chunk_seq) OVER (PARTITION BY look) AS class_id, min(chunk_seq) OVER (PARTITION BY look, raw) AS writing_id FROM l SEMI JOIN more USING (look)""",
+    "p4_found": f"WITH {_LISTED} SELECT DISTINCT chunk_seq, line_no FROM w SEMI JOIN often USING (site, wording)",
+    "p4_without": f"""
+WITH {_LISTED}, gone AS (SELECT chunk_seq, line_no FROM w SEMI JOIN often USING (site, wording)),
+kept AS (SELECT chunk_seq, string_agg(line, chr(10) ORDER BY line_no) AS text FROM w ANTI JOIN gone USING (chunk_seq, line_no) GROUP BY chunk_seq),
+n_gone AS (SELECT chunk_seq, count(*)::INTEGER AS removed FROM gone GROUP BY chunk_seq)
+SELECT c.chunk_seq, CASE WHEN g.removed IS NULL THEN c.text ELSE coalesce(k.text, '') END AS text, coalesce(g.removed, 0)::INTEGER AS removed
+FROM chunks c LEFT JOIN n_gone g USING (chunk_seq) LEFT JOIN kept k USING (chunk_seq)""",
 }

@@ -45,6 +45,25 @@ def test_pairs_against_brute_force(spark):
     assert canonical.alike_pairs(frame(spark, texts).where("false")).count() == 0
 
 
+def test_classes(spark):
+    texts = [("H", "office"), ("H", "oﬃce"), ("H", "oﬃce"), ("H", "offlce"), ("H", "office"), (None, "rule"), ("", "rule"), ("", "r\u200bule")]
+    got = sorted(map(tuple, canonical.alike_classes(frame(spark, texts)).collect()))
+    assert got == [(0, 0, 0), (1, 0, 1), (2, 0, 1), (4, 0, 0), (5, 5, 5), (6, 5, 5), (7, 5, 7)]
+    assert canonical.alike_classes(frame(spark, texts).where("false")).count() == 0
+
+
+def test_automaton_decides_what_is_alike(spark):
+    """A range holds words that look otherwise; words of any length come out."""
+    rows = [("", "paper proper pacer"), ("", "papеr"), ("", "x" * 300 + "е" + " " + "x" * 300 + "e")]
+    got = {r["word"]: r["canonical"] for r in canonical.spellings(frame(spark, rows), "text").collect()}
+    assert got == {"papеr": "paper", "x" * 300 + "е": "x" * 300 + "e"}
+    assert canonical.range_key("papеr") == canonical.range_key("paper") == canonical.range_key("pamer") != canonical.range_key("pacers")
+    trie = canonical.Trie()
+    for w in ("paper", "pamer", "pacer"):
+        trie.add(w, 1)
+    assert trie.reach("papеr") == [(0, "paper", 1)] and trie.reach("pаmer") == [(0, "pamer", 1)] and trie.reach("panеr") == []
+
+
 def test_canonical_texts(spark):
     rows = [(None, "The rule"), ("The", "Тhе rul​e is"), ("x", "значит да"), ("y", "знaчит"), ("z", None), ("z", "")]
     got = {r["chunk_seq"]: (r["heading"], r["text"], r["changed"]) for r in canonical.canonical_texts(frame(spark, rows)).collect()}

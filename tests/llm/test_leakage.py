@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 from corpusmill.llm import leakage
 
 NOUNS = "glacier orchard viaduct weir foundry guild parliament chandler almanac causeway apiary regatta tannery minstrel herbarium locksmith".split()
@@ -16,15 +18,13 @@ def passage(r, n):
 def brute(words, item):
     """Edit distance of every stretch of at least SPAN words of the item against every place of the document."""
     for a in range(len(item) - leakage.SPAN + 1):
-        for b in range(a + leakage.SPAN, min(len(item), a + 3 * leakage.SPAN) + 1):
-            most = (b - a) // leakage.EDITS
-            row = [0] * (len(words) + 1)
-            for i, w in enumerate(item[a:b], 1):
-                new = [i]
-                for j in range(1, len(words) + 1):
-                    new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (words[j - 1] != w)))
-                row = new
-            if min(row) <= most:
+        row = [0] * (len(words) + 1)
+        for i, w in enumerate(item[a:], 1):
+            new = [i]
+            for j in range(1, len(words) + 1):
+                new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (words[j - 1] != w)))
+            row = new
+            if i >= leakage.SPAN and min(row) <= i // leakage.EDITS:
                 return True
     return False
 
@@ -64,7 +64,7 @@ def test_against_brute_force(spark):
 
 def test_blocks_of_items_and_empty_tables(spark):
     documents, items, _ = build(spark)
-    one, many = leakage.leaked_items(documents, items), leakage.leaked_items(documents, items, block_rows=3)
+    one, many = leakage.leaked_items(documents, items), leakage.leaked_items(documents, items, block_characters=600)
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
     assert leakage.leaked_items(documents.where("false"), items).count() == 0
     assert leakage.leaked_items(documents, items.where("false")).count() == 0
@@ -96,5 +96,31 @@ def test_stock_openings_count_over_all_blocks(spark):
     stock = f"{passage(r, 18)}."
     items = spark.createDataFrame([(f"s{k}", f"{stock} {passage(r, 20)}?", None) for k in range(6)], "item_id string, question string, passage string")
     documents = spark.createDataFrame([(1, f"{passage(r, 20)} {stock} few words"), (2, items.first()["question"])], "doc_id long, text string")
-    for rows in (leakage.BLOCK_ROWS, 1):
-        assert [tuple(x)[:2] for x in leakage.leaked_items(documents, items, block_rows=rows).collect()] == [(2, "s0")]
+    for size in (leakage.BLOCK_CHARACTERS, 100):
+        assert [tuple(x)[:2] for x in leakage.leaked_items(documents, items, block_characters=size).collect()] == [(2, "s0")]
+
+
+def test_sketch_of_fixed_size():
+    for size in leakage.SIZES:
+        r = leakage.rows_of_a_band(size)
+        assert 1 - (1 - leakage.similarity(size) ** r) ** (leakage.PERMUTATIONS // r) >= leakage.RECALL
+    r = np.random.default_rng(3)
+    sets = r.integers(0, 1 << 63, 400, dtype=np.uint64)
+    a, b = (leakage.signatures(x, np.asarray([0]), np.asarray([300]), 300) for x in (sets[:300], sets[100:]))
+    assert a.shape == (leakage.PERMUTATIONS, 1) and abs((a == b).mean() - 0.5) < 0.12  # agree as often as the sets overlap
+
+
+def test_candidates_reach_the_recall():
+    """Pairs of a long document and a text that share LEAST_SHARED shingles, against brute force."""
+    r, found, n = random.Random(9), 0, 0
+    for size in leakage.SIZES:
+        for k in range(120):
+            text = [f"t{k}-{i}" for i in range(size + leakage.SHINGLE - 1)]
+            index = leakage.Index([("i", text)])
+            at, words = r.randrange(0, size - 1), [f"d{k}-{i}" for i in range(400)]
+            place = r.randrange(0, 390)
+            words[place : place + 6] = text[at : at + 6]
+            h = leakage._hashes(words, {})
+            n += 1
+            found += index.candidates(h, np.asarray([len(h)])) == [(0, 0)]
+    assert found >= 0.97 * n  # RECALL is what is expected at this similarity, the least of any case
