@@ -2,68 +2,82 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 
 
-def _pair_rows(pairs: DataFrame, role_a: Column, role_b: Column, match_type: str) -> DataFrame:
-    """Both directions of each pair whose roles differ. a is an answer where marked so, a question otherwise; b the other."""
-    first = F.when(role_a == "answer", "answer").otherwise("question")
-    second = F.when(role_a == "answer", "question").otherwise("answer")
-    told = pairs.where(role_a != role_b)
-    both = told.select(F.explode(F.array(F.struct(F.col("a").alias("path"), first.alias("role"), F.col("b").alias("linked_to")), F.struct(F.col("b").alias("path"), second.alias("role"), F.col("a").alias("linked_to")))).alias("l"))
-    return both.select("l.*", F.lit(match_type).alias("match_type"))
+def folders_of(files: DataFrame) -> DataFrame:
+    """(folder) of every file and every folder above it, each once; the root, whose path is empty, is one of them."""
+    own = files.select(X.parent(F.col("path")).alias("folder")).distinct()
+    parts = F.split("folder", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    return own.select(F.explode(F.array_append(above, F.lit(""))).alias("folder")).distinct()
 
 
 def folder_pairs(files: DataFrame) -> DataFrame:
-    """(a, b, role_a, role_b): two folders in one folder whose names are alike but for role words, and no third."""
-    folders = files.select(X.parent(F.col("path")).alias("folder")).where("folder <> ''").distinct()
-    named = folders.select("folder", X.parent(F.col("folder")).alias("above"), X.signature(X.base_name(F.col("folder"))).alias("sig"), X.role(X.base_name(F.col("folder"))).alias("role"))
+    """(a, b, role_a, role_b): two folders in one folder whose names are alike but for role words, and no third.
+
+    Folders that hold only folders count as well. Nothing stands beside the root.
+    """
+    named = folders_of(files).where("folder <> ''").select("folder", X.parent(F.col("folder")).alias("above"), X.signature(X.base_name(F.col("folder"))).alias("sig"), X.role(X.base_name(F.col("folder"))).alias("role"))
     groups = named.groupBy("above", "sig").agg(F.count("*").alias("n"), F.min(F.struct("folder", "role")).alias("a"), F.max(F.struct("folder", "role")).alias("b"))
     two = groups.where("n = 2").select(F.col("a.folder").alias("a"), F.col("b.folder").alias("b"), F.col("a.role").alias("role_a"), F.col("b.role").alias("role_b"))
     return two.where("role_a <> role_b")
 
 
-def folder_links(files: DataFrame) -> DataFrame:
-    """Links between the files of paired folders: the same name, else the same signature (spaces apart last), unique on both sides."""
-    sides = folder_pairs(files)
-    base = files.select("path", X.parent(F.col("path")).alias("folder"), X.base_name(F.col("path")).alias("name"), X.signature(X.stem(F.col("path"))).alias("sig"))
-    left = base.join(sides.select(F.col("a").alias("folder"), F.col("b").alias("other"), "role_a", "role_b"), "folder").withColumnRenamed("path", "a")
-    right = base.join(sides.select(F.col("b").alias("folder"), F.col("a").alias("other")), "folder").withColumnRenamed("path", "b").select(F.col("other").alias("folder"), "name", "sig", "b")
-    exact = left.join(right.select("folder", "name", "b"), ["folder", "name"])
-    linked = _pair_rows(exact, F.col("role_a"), F.col("role_b"), "folder_pair+exact_filename")
-
-    rest_l, rest_r = left.join(right, ["folder", "name"], "left_anti"), right.join(left, ["folder", "name"], "left_anti")
-
-    def unique(side: DataFrame, key: Column, value: str, *more: str) -> DataFrame:
-        keyed = side.withColumn("key", key).where("key <> ''")
-        return keyed.groupBy("folder", "key").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in (value, *more)]).where("n = 1").drop("n")
-
-    strict = unique(rest_l, F.col("sig"), "a", "role_a", "role_b").join(unique(rest_r, F.col("sig"), "b"), ["folder", "key"])
-    linked = linked.unionByName(_pair_rows(strict, F.col("role_a"), F.col("role_b"), "folder_pair+fuzzy_filename"))
-    bare = F.replace(F.col("sig"), F.lit(" "), F.lit(""))
-    open_l = rest_l.join(rest_r.select("folder", "sig").distinct(), ["folder", "sig"], "left_anti")
-    open_r = rest_r.join(rest_l.select("folder", "sig").distinct(), ["folder", "sig"], "left_anti")
-    loose = unique(open_l, bare, "a", "role_a", "role_b").join(unique(open_r, bare, "b"), ["folder", "key"])
-    return linked.unionByName(_pair_rows(loose, F.col("role_a"), F.col("role_b"), "folder_pair+fuzzy_filename+loose"))
-
-
-def sibling_links(files: DataFrame, taken: DataFrame | None = None) -> DataFrame:
-    """Links between two files of one folder whose names are alike but for role words, where no third is and neither is
-    linked already (which is looked at after the count)."""
-    base = files.select("path", X.parent(F.col("path")).alias("folder"), X.signature(X.stem(F.col("path"))).alias("sig"), X.role(X.stem(F.col("path"))).alias("role")).where("sig <> ''")
-    groups = base.groupBy("folder", "sig").agg(F.count("*").alias("n"), F.min(F.struct("path", "role")).alias("x"), F.max(F.struct("path", "role")).alias("y")).where("n = 2")
-    pairs = groups.select(F.col("x.path").alias("a"), F.col("y.path").alias("b"), F.col("x.role").alias("role_a"), F.col("y.role").alias("role_b"))
-    if taken is not None:
-        pairs = pairs.join(taken.select(F.col("path").alias("a")), "a", "left_anti").join(taken.select(F.col("path").alias("b")), "b", "left_anti")
-    return _pair_rows(pairs, F.col("role_a"), F.col("role_b"), "same_folder_filename")
+def _match(files: DataFrame, key: str, name: str) -> DataFrame:
+    """`files` with the one file on each side of a folder pair whose key is the same, as `name`_0 and `name`_1, and how
+    many there are; rows without a key stand alone. A row's key and pair tell the group, so a large folder is dealt over
+    its keys."""
+    group = Window.partitionBy("pair", key)
+    side = lambda n: F.when((F.col("side") == n) & F.col(key).isNotNull(), F.col("path"))
+    return files.withColumns({f"{name}_{n}": F.max(side(n)).over(group) for n in (0, 1)} | {f"n_{name}_{n}": F.count(side(n)).over(group) for n in (0, 1)})
 
 
 def all_links(files: DataFrame) -> DataFrame:
-    folders = folder_links(files)
-    return folders.unionByName(sibling_links(files, folders))
+    """(path, role, linked_to, match_type): links between question and answer files, both directions, out of (path), which
+    is distinct.
+
+    Files of paired folders are linked where they have the same name, else the same signature (spaces apart last) that is
+    the only one on both sides. Files of one folder are linked where two, and no third, have names that are alike but for
+    role words, and neither is linked by its folder. A file's role comes from its folder in the first case, from its own
+    name in the second; a is an answer where marked so, a question otherwise, and b the other; where both have one role
+    there is no link. Each file goes through four groupings; nothing is joined with itself.
+    """
+    pairs = folder_pairs(files)
+    sides = pairs.select(F.explode(F.array(*[F.struct(F.col(c).alias("folder"), F.lit(n).alias("side")) for n, c in ((0, "a"), (1, "b"))])).alias("s"), F.col("a").alias("pair"), "role_a")
+    sides = sides.select("s.*", "pair", F.when(F.col("role_a") == "answer", 0).otherwise(1).alias("answers"))
+    stem = X.stem(F.col("path"))
+    base = files.select("path", X.parent(F.col("path")).alias("folder"), X.base_name(F.col("path")).alias("name"), X.signature(stem).alias("sig"), X.role(stem).alias("own_role"))
+    base = base.join(sides, "folder", "left").withColumn("paired", F.col("pair").isNotNull()).withColumn("pair", F.coalesce("pair", F.concat(F.lit("/"), F.col("folder"))))
+
+    told = _match(base, "name", "exact")
+    told = told.withColumn("exact", F.col("paired") & (F.col("n_exact_0") > 0) & (F.col("n_exact_1") > 0))
+    # keys of files that are out are their own paths, so that they do not meet in one group
+    told = told.withColumn("open", F.col("paired") & ~F.col("exact")).withColumn("key", F.when(F.col("open"), F.col("sig")).otherwise(F.concat(F.lit("/"), F.col("path"))))
+    told = _match(told, "key", "strict")
+    told = told.withColumn("strict", F.col("open") & (F.col("sig") != "") & (F.col("n_strict_0") == 1) & (F.col("n_strict_1") == 1))
+    other = F.when(F.col("side") == 0, F.col("n_strict_1")).otherwise(F.col("n_strict_0"))
+    told = told.withColumn("open", F.col("open") & (other == 0) & (F.col("sig") != ""))
+    told = told.withColumn("key", F.when(F.col("open"), F.replace("sig", F.lit(" "), F.lit(""))).otherwise(F.concat(F.lit("/"), F.col("path"))))
+    told = _match(told, "key", "loose")
+    told = told.withColumn("loose", F.col("open") & (F.col("n_loose_0") == 1) & (F.col("n_loose_1") == 1))
+
+    told = told.withColumn("linked", F.col("exact") | F.col("strict") | F.col("loose")).withColumn("key", F.when(F.col("sig") != "", F.col("sig")).otherwise(F.concat(F.lit("/"), F.col("path"))))
+    group, me = Window.partitionBy("folder", "key"), F.struct("path", "own_role")
+    told = told.withColumns({"n": F.count("*").over(group), "first": F.min(me).over(group), "last": F.max(me).over(group), "any_linked": F.max("linked").over(group)})
+    beside = ~F.col("any_linked") & (F.col("n") == 2) & (F.col("first.own_role") != F.col("last.own_role"))
+    is_first = F.col("path") == F.col("first.path")
+
+    def partner(name: str):
+        return F.when(F.col("side") == 0, F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
+
+    linked_to = F.when(F.col("exact"), partner("exact")).when(F.col("strict"), partner("strict")).when(F.col("loose"), partner("loose")).when(beside, F.when(is_first, F.col("last.path")).otherwise(F.col("first.path")))
+    answer = F.when(F.col("linked"), F.col("side") == F.col("answers")).otherwise(is_first == (F.col("first.own_role") == "answer"))
+    kind = F.when(F.col("exact"), "folder_pair+exact_filename").when(F.col("strict"), "folder_pair+fuzzy_filename").when(F.col("loose"), "folder_pair+fuzzy_filename+loose").otherwise("same_folder_filename")
+    return told.select("path", F.when(answer, "answer").otherwise("question").alias("role"), linked_to.alias("linked_to"), kind.alias("match_type")).where("linked_to IS NOT NULL")
 
 
 def link_stats(links: DataFrame) -> DataFrame:
@@ -71,6 +85,14 @@ def link_stats(links: DataFrame) -> DataFrame:
     return links.groupBy("match_type").agg((F.count("*") / 2).cast("long").alias("pairs"), F.countDistinct("path").alias("files"))
 
 
+def link_coverage(files: DataFrame, links: DataFrame) -> DataFrame:
+    """One row: all files, those with a link, pairs, and the share of files that are linked in per cent."""
+    linked = links.agg(F.countDistinct("path").alias("linked_files"), F.count("*").alias("n"))
+    every = files.agg(F.count("*").alias("files"))
+    share = F.when(F.col("files") > 0, F.round(100 * F.col("linked_files") / F.col("files"), 1)).otherwise(0.0)
+    return every.crossJoin(linked).select("files", "linked_files", (F.col("n") / 2).cast("long").alias("pairs"), share.alias("linked_pct"))  # one row each
+
+
 def asymmetric(links: DataFrame) -> DataFrame:
     """Links whose opposite is missing; there should be none."""
     back = links.select(F.col("linked_to").alias("path"), F.col("path").alias("linked_to"))

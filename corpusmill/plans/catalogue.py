@@ -152,11 +152,12 @@ def path_parts(spark: SparkSession, d: str) -> DataFrame:
     return _files(spark, d).select("path", X.parent(p).alias("parent"), X.stem(p).alias("stem"), X.suffix(p).alias("ext"), site_of(p).alias("site"), X.role(X.stem(p)).alias("role"), X.signature(X.stem(p)).alias("signature"))
 
 
+FOLDERS = f"SELECT DISTINCT array_to_string(p[1:n], '/') AS folder FROM (SELECT p, unnest(generate_series(1, len(p))) AS n FROM (SELECT DISTINCT string_split({PARENT.format('path')}, '/') AS p FROM ({FILES})))"
 FOLDER_PAIRS = f"""
 SELECT a, b, role_a, role_b FROM (
   SELECT min(f) AS a, max(f) AS b, min_by(r, f) AS role_a, max_by(r, f) AS role_b, count(*) AS n
   FROM (SELECT folder AS f, {PARENT.format('folder')} AS above, {SIGNATURE.format(BASE.format('folder'))} AS sig, {ROLE.format(BASE.format('folder'))} AS r
-        FROM (SELECT DISTINCT {PARENT.format('path')} AS folder FROM ({FILES})) WHERE folder <> '') GROUP BY above, sig)
+        FROM ({FOLDERS}) WHERE folder <> '') GROUP BY above, sig)
 WHERE n = 2 AND role_a <> role_b"""
 NAMED = f"SELECT path, {PARENT.format('path')} AS folder, {BASE.format('path')} AS name, {SIGNATURE.format(STEM.format('path'))} AS sig FROM ({FILES})"
 
@@ -202,6 +203,17 @@ def link_stats(spark: SparkSession, d: str) -> DataFrame:
     return linking.link_stats(linking.all_links(_files(spark, d)))
 
 
+@query(LINKS_WITH + f"SELECT (SELECT count(*) FROM ({FILES})) AS files, count(DISTINCT path) AS linked_files, (count(*) // 2)::BIGINT AS pairs, round(100 * count(DISTINCT path) / (SELECT count(*) FROM ({FILES})), 1) AS linked_pct FROM links")
+def link_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return linking.link_coverage(_files(spark, d), linking.all_links(_files(spark, d)))
+
+
+@query(f"SELECT folder, {PARENT.format('folder')} AS above FROM (SELECT folder FROM ({FOLDERS}) UNION SELECT '')")
+def folders(spark: SparkSession, d: str) -> DataFrame:
+    """Every folder of a file and the folders above it, the root included."""
+    return linking.folders_of(_files(spark, d)).select("folder", X.parent(F.col("folder")).alias("above"))
+
+
 LINK_TABLE = f"SELECT {CLEAN.format('path')} AS path, qa_role AS role, {CLEAN.format('linked_to')} AS linked_to, match_type FROM qa_links"
 
 
@@ -509,7 +521,8 @@ def embedded_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- context -------------------------------------------------------------------------------------------------------
 CLEAN_CHUNKS = f"SELECT chunk_seq, chunk_id, {CLEAN.format('source_file')} AS source_file, page_start, text FROM chunks"
-ASKED = f"SELECT chunk_seq AS query_id, 1 AS rank, * FROM ({CLEAN_CHUNKS}) WHERE chunk_seq % 100 = 0"
+#: Ten hits of each asked vector; a vector stands for the chunk of its number.
+ASKED = f"SELECT k.query_id, k.rank, c.* FROM ({_knn_sql('true', 10)}) k JOIN ({CLEAN_CHUNKS}) c ON c.chunk_seq = k.vec_id"
 FIRST_LINKS = f"SELECT path, min_by(role, linked_to) AS role, min(linked_to) AS linked_to FROM ({LINK_TABLE}) GROUP BY path"
 NEAREST = f"""
 SELECT query_id, rank, n::INTEGER AS n, linked_seq, linked_to, linked_role, linked_page FROM (
@@ -520,7 +533,8 @@ SELECT query_id, rank, n::INTEGER AS n, linked_seq, linked_to, linked_role, link
 
 def _context_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     chunks = table(spark, d, "chunks").select("chunk_seq", "chunk_id", clean_path(F.col("source_file")).alias("source_file"), "page_start", "text")
-    hits = chunks.where("chunk_seq % 100 = 0").select(F.col("chunk_seq").alias("query_id"), F.lit(1).alias("rank"), "*")
+    found = retrieval.top_k(_queries(spark, d), table(spark, d, "embeddings"), 10).select("query_id", "rank", F.col("vec_id").alias("chunk_seq"))
+    hits = found.join(chunks, "chunk_seq")
     links = _links(spark, d).groupBy("path").agg(F.min_by("role", "linked_to").alias("role"), F.min("linked_to").alias("linked_to"))
     return hits, chunks, links
 
@@ -538,15 +552,15 @@ def linked_targets(spark: SparkSession, d: str) -> DataFrame:
 
 
 BLOCKS = f"""
-WITH hits AS ({ASKED}), near AS ({NEAREST}),
-own AS (SELECT query_id, '[Excerpt 1 | ' || {BASE.format('source_file')} || ' | p' || coalesce(page_start::VARCHAR, 'None') || ']' || chr(10) || text || chr(10) AS block, chunk_id FROM hits),
-more AS (SELECT n.query_id, n.n, c.chunk_id, '[Linked ' || CASE WHEN linked_role = 'answer' THEN 'SOLUTION' ELSE 'QUESTION' END || ' for Excerpt 1 | ' || {BASE.format('linked_to')} || ' | p' || linked_page::VARCHAR || ']' || chr(10) || c.text || chr(10) AS block
-  FROM near n JOIN chunks c ON c.chunk_seq = n.linked_seq JOIN own o ON o.query_id = n.query_id WHERE c.chunk_id <> o.chunk_id QUALIFY row_number() OVER (PARTITION BY n.query_id, c.chunk_id ORDER BY n.n) = 1),
-wide AS (SELECT o.query_id, o.block AS b0, max(m.block) FILTER (WHERE m.n = 1) AS b1, max(m.block) FILTER (WHERE m.n = 2) AS b2 FROM own o LEFT JOIN more m USING (query_id) GROUP BY o.query_id, o.block),
-one AS (SELECT *, length(b0) <= 9000 AS k0, coalesce(length(b0) <= 9000 AND length(b0) + length(b1) <= 9000, false) AS k1 FROM wide),
-two AS (SELECT *, coalesce(k0 AND length(b0) + CASE WHEN k1 THEN length(b1) ELSE 0 END + length(b2) <= 9000, false) AS k2 FROM one)
-SELECT query_id, array_to_string(list_filter([CASE WHEN k0 THEN b0 END, CASE WHEN k1 THEN b1 END, CASE WHEN k2 THEN b2 END], lambda x: x IS NOT NULL), chr(10)) AS context,
-  (k0::INT + k1::INT + k2::INT)::INTEGER AS blocks, (CASE WHEN k0 THEN length(b0) ELSE 0 END + CASE WHEN k1 THEN length(b1) ELSE 0 END + CASE WHEN k2 THEN length(b2) ELSE 0 END)::INTEGER AS used_chars FROM two"""
+WITH RECURSIVE hits AS MATERIALIZED ({ASKED}), near AS MATERIALIZED ({NEAREST}),
+own AS (SELECT query_id, rank, 0 AS n, '[Excerpt ' || rank::VARCHAR || ' | ' || {BASE.format('source_file')} || ' | p' || coalesce(page_start::VARCHAR, 'None') || ']' || chr(10) || text || chr(10) AS block FROM hits),
+more AS (SELECT n.query_id, n.rank, n.n, '[Linked ' || CASE WHEN linked_role = 'answer' THEN 'SOLUTION' ELSE 'QUESTION' END || ' for Excerpt ' || n.rank::VARCHAR || ' | ' || {BASE.format('linked_to')} || ' | p' || coalesce(c.page_start::VARCHAR, 'None') || ']' || chr(10) || c.text || chr(10) AS block
+  FROM near n JOIN chunks c ON c.chunk_seq = n.linked_seq ANTI JOIN hits h ON h.query_id = n.query_id AND h.chunk_id = c.chunk_id QUALIFY row_number() OVER (PARTITION BY n.query_id, c.chunk_id ORDER BY n.rank, n.n) = 1),
+b AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank, n) AS i FROM (SELECT * FROM own UNION ALL SELECT * FROM more)),
+fold AS (SELECT DISTINCT query_id, 0::BIGINT AS i, 0::BIGINT AS used, false AS ended, []::VARCHAR[] AS kept FROM hits UNION ALL
+  SELECT f.query_id, b.i, CASE WHEN NOT ended AND used + length(block) <= 9000 THEN used + length(block) ELSE used END, ended OR (b.n = 0 AND used + length(block) > 9000),
+    CASE WHEN NOT ended AND used + length(block) <= 9000 THEN list_append(kept, block) ELSE kept END FROM fold f JOIN b ON b.query_id = f.query_id AND b.i = f.i + 1)
+SELECT query_id, array_to_string(kept, chr(10)) AS context, len(kept)::INTEGER AS blocks, used::INTEGER AS used_chars FROM fold QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY i DESC) = 1"""
 
 
 @query(BLOCKS)

@@ -102,6 +102,72 @@ def test_links_need_two_and_different_roles(spark):
     assert link_rows(spark, []) == []
 
 
+def test_third_folder_of_folders_makes_a_pair_ambiguous(spark):
+    assert link_rows(spark, ["A/Question/1.pdf", "A/Answer/1.pdf", "A/Questions/sub/x.pdf"]) == []
+    assert len(link_rows(spark, ["A/Question/1.pdf", "A/Answer/1.pdf", "A/Notes/sub/x.pdf"])) == 2
+    assert len(link_rows(spark, ["Question/deep/1.pdf", "Question/2.pdf", "Answer/2.pdf", "Answer/deep/1.pdf"])) == 2  # folders right below the root
+    folders = linking.folders_of(spark.createDataFrame([("a/b/c.pdf",), ("d.pdf",), ("a/b/e/f.pdf",)], "path string"))
+    assert rows(folders) == [("",), ("a",), ("a/b",), ("a/b/e",)]
+
+
+def brute_links(paths):
+    """The rule read word for word, file by file."""
+    import itertools
+    import re
+
+    from corpusmill.functions import text as X
+
+    words = lambda n: [t for t in re.split("[^a-z0-9]+", n.lower()) if t]
+    role = lambda n: "answer" if set(words(n)) & set(X.ANSWER_WORDS) else "question" if set(words(n)) & set(X.QUESTION_WORDS) else "unmarked"
+    sig = lambda n: " ".join(t for t in words(n) if t not in X.ANSWER_WORDS + X.QUESTION_WORDS)
+    stem = lambda p: re.sub(r"(?<=.)\.[^.]*$", "", p.rpartition("/")[2])
+    folders = {p.rpartition("/")[0] for p in paths}
+    folders |= {"/".join(f.split("/")[:n]) for f in folders for n in range(1, f.count("/") + 1)}
+    out = {}
+
+    def put(a, b, ra, rb, kind):
+        if ra != rb:
+            first = "question" if ra != "answer" else "answer"
+            out[a], out[b] = (first, b, kind), ("answer" if first == "question" else "question", a, kind)
+
+    groups = {}
+    for f in sorted(folders - {""}):
+        groups.setdefault((f.rpartition("/")[0], sig(f.rpartition("/")[2])), []).append(f)
+    for pair in (g for g in groups.values() if len(g) == 2):
+        ra, rb = (role(f.rpartition("/")[2]) for f in pair)
+        if ra == rb:
+            continue
+        left, right = ({p.rpartition("/")[2]: p for p in paths if p.rpartition("/")[0] == f} for f in pair)
+        for n in left.keys() & right.keys():
+            put(left[n], right[n], ra, rb, "folder_pair+exact_filename")
+        l, r = [p for n, p in left.items() if n not in right], [p for n, p in right.items() if n not in left]
+        for kind, key, same in (("", lambda p: sig(stem(p)), None), ("+loose", lambda p: sig(stem(p)).replace(" ", ""), True)):
+            if same:
+                l, r = [p for p in l if sig(stem(p)) not in {sig(stem(x)) for x in r}], [p for p in r if sig(stem(p)) not in {sig(stem(x)) for x in l}]
+            for a, b in itertools.product(l, r):
+                if key(a) == key(b) != "" and [key(x) for x in l].count(key(a)) == 1 == [key(x) for x in r].count(key(a)):
+                    put(a, b, ra, rb, "folder_pair+fuzzy_filename" + kind)
+    linked, beside = set(out), {}
+    for p in sorted(paths):
+        if sig(stem(p)):
+            beside.setdefault((p.rpartition("/")[0], sig(stem(p))), []).append(p)
+    for a, b in (g for g in beside.values() if len(g) == 2):
+        if a not in linked and b not in linked:
+            put(a, b, role(stem(a)), role(stem(b)), "same_folder_filename")
+    return sorted(((p, *v) for p, v in out.items()), key=str)
+
+
+def test_links_against_brute_force(spark):
+    import random
+
+    r = random.Random(4)
+    for _ in range(3):
+        folders = [f"{s}/{t}" for s in ("S", "S/T", "U") for t in ("Question", "Answer_", "Notes", "Questions 2", "Sol 2")] + ["", "V/Key/deep"]
+        names = ["01", "NMAT 1", "NMAT1", "Mock 2 Q", "Mock 2 sol", "Mock 2", "Q", "sol", "a b", "ab"]
+        paths = sorted({f"{f}/{r.choice(names)}.{r.choice(['pdf', 'docx'])}".lstrip("/") for f in folders for _ in range(6)})
+        assert link_rows(spark, paths) == brute_links(paths)
+
+
 def test_asymmetric_links(spark):
     links = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "d")], "path string, linked_to string")
     assert rows(linking.asymmetric(links)) == [("c", "d")]
@@ -122,7 +188,7 @@ def test_budget_stops_at_a_hit_and_passes_over_linked_blocks(spark):
     head = len("[Excerpt 1 | f | p1]\n\n")
     linked_head = len("[Linked SOLUTION for Excerpt 1 | g | p1]\n\n")
     hits = spark.createDataFrame([(1, 1, "p1", "f", 1, pad(60)), (1, 2, "p2", "f", 1, pad(20)), (1, 3, "p3", "f", 1, pad(1))], "query_id long, rank int, chunk_id string, source_file string, page_start int, text string")
-    linked = spark.createDataFrame([(1, 1, 1, "g", "answer", "l1", 1, pad(50 + head)), (1, 1, 2, "g", "answer", "l2", 1, pad(10))], "query_id long, rank int, n int, linked_to string, linked_role string, linked_id string, linked_page int, linked_text string")
+    linked = spark.createDataFrame([(1, 1, 1, "g", "answer", "l1", 1, pad(50 + head)), (1, 1, 2, "g", "answer", "l2", 1, pad(10))], "query_id long, rank int, n int, linked_to string, linked_role string, linked_id string, linked_start int, linked_text string")
     got = context.contexts(hits, linked, budget=60 + head + linked_head + 10 + 5).first()
     assert got["blocks"] == 2 and got["used_chars"] == 60 + head + 10 + linked_head
 
