@@ -1,52 +1,53 @@
 """Problem 7: a mix of sources by target shares.
 
 The tokens of every text are counted with a public tokenizer. The largest mix in which every source that has documents
-can reach its share follows from what each source holds, times its cap of repeats. Sainte-Laguë apportionment (highest
-quotients w/(2k+1), found through the divisor that gives the same quotas) shares equal-token blocks among the sources
-and again among the shards of a source. A shard's documents stand in a seeded order; its quota is taken from the start of
-that order, in as many rounds as the quota needs.
+can reach its share follows from what each source holds, times its cap of repeats. It is parted into blocks of equal
+tokens, and Sainte-Laguë apportionment (highest quotients w/(2k+1), found through the divisor that gives the same quotas)
+gives the blocks to the sources and a source's blocks to its shards, as integers; what a full source or shard cannot take
+goes to the others. A shard's documents stand in a seeded order, which is cut into blocks; its quota takes all blocks as
+often as it holds them all, and the first ones once more. The document that fits best closes what whole documents leave.
 """
 
 from __future__ import annotations
 
 import base64
+import math
+import posixpath
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import cut
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-BLOCKS, SHARDS, PER_SHARD, PER_SUB, MAX_SOURCES = 20_000, 64, 2_000_000, 4_000_000, 10_000
+# Fixed value: how byte-level BPE of that vocabulary splits a text before its merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Blocks of a mix at least, and of a source; shards of a source at most; tokens of a shard and of a stretch of it; targets.
+BLOCKS, OF_SOURCE, SHARDS, PER_SHARD, PER_SUB, MAX_SOURCES = 20_000, 200, 64, 2_000_000, 4_000_000, 10_000
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str):
-    import sys
-
+def _encoder(name: str, pattern: str):
     import tiktoken
 
-    sys.path.insert(0, path.rpartition("/")[0])
-    try:
-        from public_tokenizers import PATTERN
-    except ImportError:  # the pattern of byte-level BPE of that vocabulary
-        PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-    finally:
-        sys.path.pop(0)
-    with open(path, "rb") as f:
+    with open(SparkFiles.get(name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def count_tokens(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER, out: str = "n_tokens") -> DataFrame:
-    """`df` with the number of tokens of its text; null and empty texts have 0."""
+def count_tokens(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER, pattern: str = PATTERN, out: str = "n_tokens") -> DataFrame:
+    """`df` with the number of tokens of its text; null and empty texts have 0. The vocabulary file is sent to the
+    executors."""
+    df.sparkSession.sparkContext.addFile(tokenizer)
+    name = posixpath.basename(tokenizer)
 
     @F.pandas_udf("long")
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = _encoder(tokenizer).encode_ordinary
+        encode = _encoder(name, pattern).encode_ordinary
         for batch in batches:
             yield pd.Series([len(encode(t)) if t else 0 for t in batch])
 
@@ -67,7 +68,7 @@ def sainte_lague(weights: list[float], seats: int, caps: list[int] | None = None
         return quota
 
     def at(d: float) -> list[int]:
-        return [min(caps[i], int(weights[i] / d + 0.5)) for i in usable]
+        return [int(min(caps[i], weights[i] / d + 0.5)) if d > 0 else caps[i] for i in usable]
 
     low, high = min(weights[i] for i in usable) / (4.0 * seats + 4), 4.0 * sum(weights[i] for i in usable)
     for _ in range(200):
@@ -85,18 +86,20 @@ def sainte_lague(weights: list[float], seats: int, caps: list[int] | None = None
     return quota
 
 
-def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 7, tokenizer: str = TOKENIZER, blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 7, tokenizer: str = TOKENIZER, pattern: str = PATTERN, blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame]:
     """(mixture, report).
 
-    mixture: (doc_id, source, n_tokens, uses) of each document that is used at least once.
-    report: (source_name, target_share, max_repeats, available_tokens, mixed_tokens, reached_share, documents_used,
-    most_uses) for every target, also one without documents (reached_share 0).
+    mixture: (doc_id, source, n_tokens, shard, block, uses) of each document that is used at least once; block is the
+    block of its shard in which its middle lies.
+    report: (source_name, target_share, max_repeats, available_tokens, quota_tokens, mixed_tokens, reached_share,
+    documents_used, most_uses) for every target, also one without documents (reached_share 0).
 
     Documents of no target, with null source or without tokens are not used. A target share that is null or not above 0,
     or a cap below 1, takes nothing. Without `total_tokens` the mix is the largest in which each source with documents
     can still hold its share; a larger wish is cut to what the caps allow, so no document is ever used more than
     max_repeats times. Targets named twice count once, by their first row in order of share and cap. Repeated document
-    rows are separate documents. Targets must be at most MAX_SOURCES rows (a table of settings; it is checked).
+    rows are separate documents. Targets must be at most MAX_SOURCES rows (a table of settings; it is checked). A mix has
+    at least `blocks` blocks, more where a source holds less than OF_SOURCE of them, and none is below a token.
     """
     rows = targets.select("source_name", F.col("target_share").cast("double"), F.col("max_repeats").cast("int")).where("source_name IS NOT NULL").orderBy("source_name", "target_share", "max_repeats").limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
@@ -108,20 +111,20 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     known = F.broadcast(spark.createDataFrame([(k,) for k in wanted] or [("",)], "source string"))
     used = documents.select(F.col("doc_id"), F.col("source"), F.col("text")).join(known, "source", "left_semi")
     place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.coalesce("n_tokens", F.lit(0))), F.lit(1 << 40))
-    counted = cut(count_tokens(used, tokenizer=tokenizer).drop("text").where("n_tokens > 0").withColumn("place", place), "tokens")
+    counted = count_tokens(used, tokenizer=tokenizer, pattern=pattern).drop("text").where("n_tokens > 0")
+    counted = cut(counted.withColumns({"place": place, "row": F.monotonically_increasing_id()}), "tokens")
 
-    held = {r[0]: (r[1], r[2]) for r in counted.groupBy("source").agg(F.sum("n_tokens"), F.max("n_tokens")).collect()}  # at most one row a target
+    held = {r[0]: r[1] for r in counted.groupBy("source").agg(F.sum("n_tokens")).collect()}  # at most one row a target
     names = sorted(n for n, (share, cap) in wanted.items() if n in held and share > 0 and cap > 0)
     shares = sum(wanted[n][0] for n in names)
-    reach = min((held[n][0] * wanted[n][1] * shares / wanted[n][0] for n in names), default=0)
+    reach = min((held[n] * wanted[n][1] * shares / wanted[n][0] for n in names), default=0)
     total = min(total_tokens or reach, reach)
-    quota_tokens: dict[str, float] = {}
-    if names and total > 0:
-        for n, q in zip(names, sainte_lague([wanted[n][0] for n in names], blocks)):
-            quota_tokens[n] = min(q * total / blocks, held[n][0] * wanted[n][1])
+    size = max(1, math.floor(min([total / blocks, *(held[n] / OF_SOURCE for n in names)])))
+    seats = sainte_lague([wanted[n][0] for n in names], round(total / size), [-(-held[n] * wanted[n][1] // size) for n in names])
+    of_source = dict(zip(names, seats))
 
-    shards = {n: max(1, min(SHARDS, held[n][0] // PER_SHARD)) for n in names}
-    subs = {n: max(1, held[n][0] // shards[n] // PER_SUB) for n in names}
+    shards = {n: max(1, min(SHARDS, held[n] // PER_SHARD)) for n in names}
+    subs = {n: max(1, held[n] // shards[n] // PER_SUB) for n in names}
     plan = spark.createDataFrame([(n, int(shards[n]), int(subs[n]), int(wanted[n][1])) for n in names] or [("", 1, 1, 0)], "source string, shards long, subs long, cap int")
     placed = (
         counted.join(F.broadcast(plan), "source")
@@ -135,34 +138,41 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
         by_source.setdefault(r["source"], []).append(r)
     quotas = []
     for n, own in by_source.items():
-        cap, weights = wanted[n][1], [float(r["shard_tokens"]) for r in own]
-        seats = blocks
-        for r, q in zip(own, sainte_lague(weights, seats)):
-            quotas.append((n, int(r["shard"]), min(q * quota_tokens.get(n, 0) / seats, r["shard_tokens"] * cap), int(r["shard_tokens"])))
-    quota = spark.createDataFrame(quotas or [("", 0, 0.0, 1)], "source string, shard long, quota double, shard_tokens long")
+        weights, cap = [r["shard_tokens"] for r in own], wanted[n][1]
+        for r, q in zip(own, sainte_lague(weights, of_source[n], [-(-w * cap // size) for w in weights])):
+            quotas.append((n, int(r["shard"]), q * size, int(r["shard_tokens"])))
+    quota = F.broadcast(spark.createDataFrame(quotas or [("", 0, 0, 1)], "source string, shard long, quota long, shard_tokens long"))
 
     before_sub = Window.partitionBy("source", "shard").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("sub_offset", F.coalesce(F.sum("sub_tokens").over(before_sub), F.lit(0)))
-    inside = Window.partitionBy("source", "shard", "sub").orderBy("place", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    begun = F.col("sub_offset") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)) + F.col("n_tokens") / 2
+    inside = Window.partitionBy("source", "shard", "sub").orderBy("place", "doc_id", "n_tokens", "row").rowsBetween(Window.unboundedPreceding, -1)
+    middle = F.col("sub_offset") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)) + F.col("n_tokens") / 2
     rounds = F.floor(F.col("quota") / F.col("shard_tokens"))
-    more = (F.col("begun") < F.col("quota") - rounds * F.col("shard_tokens")).cast("int")
-    mixture = (
+    more = (F.col("middle") < F.col("quota") - rounds * F.col("shard_tokens")).cast("int")
+    chosen = (
         placed.join(offsets.drop("sub_tokens"), ["source", "shard", "sub"])
-        .withColumn("begun", begun)
-        .join(F.broadcast(quota), ["source", "shard"])
+        .withColumn("middle", middle)
+        .join(quota, ["source", "shard"])
         .withColumn("uses", F.least(F.col("cap"), (rounds + more)).cast("int"))
-        .where("uses > 0")
-        .select("doc_id", "source", "n_tokens", "uses")
+        .select("doc_id", "source", "n_tokens", "shard", F.floor(F.col("middle") / F.lit(size)).alias("block"), "uses", "cap", "quota", "row")
     )
+    chosen = cut(chosen, "chosen")
+    # one document more, or once less, closes the gap of a shard best
+    gaps = chosen.groupBy("source", "shard").agg((F.max("quota") - F.sum(F.col("n_tokens") * F.col("uses"))).alias("gap"))
+    left = lambda n: F.abs(F.col("gap") - n * F.col("n_tokens"))
+    change = F.when((F.col("uses") < F.col("cap")) & (left(1) <= left(-1)), 1).when(F.col("uses") > 0, -1).when(F.col("uses") < F.col("cap"), 1)
+    able = chosen.join(F.broadcast(gaps), ["source", "shard"]).withColumn("change", change).where(F.col("change").isNotNull() & (left(F.col("change")) < F.abs("gap")))
+    closing = able.groupBy("source", "shard").agg(F.min_by(F.struct("row", "change"), F.struct(left(F.col("change")).alias("left"), "row")).alias("c")).select(F.col("c.row").alias("row"), F.col("c.change").alias("change"))
+    uses = F.col("uses") + F.coalesce("change", F.lit(0))
+    mixture = chosen.join(F.broadcast(closing), "row", "left").withColumn("uses", uses).where("uses > 0").select("doc_id", "source", "n_tokens", "shard", "block", "uses")
     done = mixture.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("mixed_tokens"), F.count("*").alias("documents_used"), F.max("uses").alias("most_uses"))
-    listed = spark.createDataFrame([(n, s, c, int(held.get(n, (0, 0))[0])) for n, (s, c) in wanted.items()], "source_name string, target_share double, max_repeats int, available_tokens long")
+    listed = spark.createDataFrame([(n, s, c, int(held.get(n, 0)), int(of_source.get(n, 0) * size)) for n, (s, c) in wanted.items()], "source_name string, target_share double, max_repeats int, available_tokens long, quota_tokens long")
     everything = done.agg(F.sum("mixed_tokens").alias("all_tokens"))
     report = (
         listed.join(done.withColumnRenamed("source", "source_name"), "source_name", "left")
         .crossJoin(F.broadcast(everything))  # one row
         .select(
-            "source_name", "target_share", "max_repeats", "available_tokens", F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"),
+            "source_name", "target_share", "max_repeats", "available_tokens", "quota_tokens", F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"),
             F.coalesce(F.col("mixed_tokens") / F.col("all_tokens"), F.lit(0.0)).alias("reached_share"), F.coalesce("documents_used", F.lit(0)).alias("documents_used"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"),
         )
     )

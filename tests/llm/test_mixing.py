@@ -66,3 +66,23 @@ def test_wish_and_empty_tables(spark):
     mixture, report = mixing.mix(documents.where("false"), targets)
     assert mixture.count() == 0 and {r["reached_share"] for r in report.collect()} == {0.0}
     assert mixing.mix(documents, targets.where("false"))[1].count() == 0
+
+
+def test_blocks_quotas_and_caps(spark):
+    documents, targets = build(spark)
+    for total in (None, 3000, 700):
+        mixture, report = mixing.mix(documents, targets, total_tokens=total)
+        shares = {r["source_name"]: r for r in report.collect()}
+        all_quota = sum(r["quota_tokens"] for r in shares.values())
+        for name, share in (("big", 0.6), ("small", 0.25), ("tiny", 0.1)):
+            r = shares[name]
+            assert abs(r["quota_tokens"] - all_quota * share / 0.95) <= max(1, all_quota / mixing.BLOCKS)  # integer quotas of blocks
+            assert abs(r["mixed_tokens"] - r["quota_tokens"]) <= 3  # whole documents, the last one chosen to fit
+            assert r["most_uses"] <= r["max_repeats"]
+        used = mixture.collect()
+        assert abs(sum(r["n_tokens"] * r["uses"] for r in used) - all_quota) <= 9 and all(r["block"] >= 0 for r in used)
+        assert abs(sum(r["reached_share"] for r in shares.values()) - 1) < 1e-9
+
+
+def test_a_full_shard_passes_its_seats_on():
+    assert mixing.sainte_lague([50, 30, 20], 10, [2, 9, 9]) == highest_quotients([50, 30, 20], 10, [2, 9, 9]) == [2, 5, 3]
