@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import cut
@@ -32,11 +32,11 @@ SINGLE = ("cp1252", "latin-1", "mac_roman", "cp1251", "cp437", "cp850", "koi8-r"
 DOUBLE = ("gbk", "big5", "shift_jis", "euc_kr")
 #: 8-bit text read as another 8-bit encoding: (read as, really).
 PAIRS = (("cp1252", "cp1251"), ("latin-1", "cp1251"), ("cp1251", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp437", "cp1252"), ("cp1252", "koi8-r"), ("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "cp866"))
-GAIN, LOST_GAIN, LONG_PENALTY, RARE_PENALTY, DEPTH, ROUNDS, SMOOTHING = 5.0, 3.0, 0.5, 6.0, 3, 4, 5.0
+GAIN, LOST_GAIN, LONG_PENALTY, RARE_PENALTY, ROUNDS, SMOOTHING = 5.0, 3.0, 0.5, 6.0, 4, 5.0
 #: Least weight of a chain.
 FLOOR = 1e-6
-#: Most characters that count as usual in the corpus, and their least part of all characters beyond ASCII.
-USUAL, USUAL_PART = 5_000, 2e-5
+#: Least part of all characters beyond ASCII that a usual character has; so there are at most 50,000 of them.
+USUAL_PART = 2e-5
 
 _TOKEN = re.compile(r"[^ \n\t\r]+")
 _ENTITY = re.compile(r"&(?:#\d{2,7}|#x[0-9A-Fa-f]{2,6}|[A-Za-z][A-Za-z0-9]{1,7});")
@@ -122,7 +122,8 @@ def readings(word: str) -> list[tuple[str, str, float]]:
     unescaped = html.unescape(word) if "&" in word and _ENTITY.search(word) else word
     if unescaped != word:
         todo = [(("entities",), unescaped, 0.0)]
-    for depth in range(DEPTH):
+    depth = 0
+    while todo:  # each step leaves a shorter text
         new = []
         for chain, text, gain in todo:
             if text.isascii():
@@ -135,7 +136,7 @@ def readings(word: str) -> list[tuple[str, str, float]]:
                     found[reading] = (" < ".join((*chain, step)), gain + g - LONG_PENALTY * len(chain))
                     if " for " not in step:
                         new.append(((*chain, step), reading, gain + g))
-        todo = new
+        todo, depth = new, depth + 1
     return [(chain, reading, gain) for reading, (chain, gain) in found.items()]
 
 
@@ -166,6 +167,11 @@ def with_digits(form: str, word: str) -> str | None:
     return re.sub("0", lambda _: digits.pop(0), form) if form.count("0") == len(digits) else None
 
 
+def source_key(source: Column) -> Column:
+    """A source as a key that is never null: joins drop null keys, and a null source is a source of its own."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+
+
 def suspicious_words(df: DataFrame, text: str = "text", source: str = "source_rel") -> DataFrame:
     """(source, word, n): the suspicious words of each source, counted inside the tasks before the shuffle."""
 
@@ -177,7 +183,7 @@ def suspicious_words(df: DataFrame, text: str = "text", source: str = "source_re
                     words.update((s, w) for w in _TOKEN.findall(t) if suspicious(w))
             yield pd.DataFrame([(s, w, n) for (s, w), n in words.items()], columns=["source", "word", "n"])
 
-    slim = df.select(F.col(source).cast("string").alias("source"), F.col(text).alias("text"))
+    slim = df.select(source_key(F.col(source)).alias("source"), F.col(text).alias("text"))
     return slim.mapInPandas(scan, "source string, word string, n long").groupBy("source", "word").agg(F.sum("n").alias("n"))
 
 
@@ -191,19 +197,12 @@ def with_options(words: DataFrame) -> DataFrame:
     return words.withColumn("options", options("word"))
 
 
-def decide(df: DataFrame, text: str = "text", source: str = "source_rel", rounds: int = ROUNDS) -> DataFrame:
-    """(source, word, chain, reading, posterior): the reading of highest posterior of every word that has several.
-
-    What a word may be read as does not depend on its source, so readings and their fit are worked out once for each
-    distinct word; only the weights of the chains are learned for each source.
-    """
-    seen = cut(suspicious_words(df, text, source), "words")
-    spread_of = seen.groupBy("word").agg(F.count("*").alias("sources"), F.sum("n").alias("n"))
-    words = cut(with_options(spread_of), "options")
+def _rated(words: DataFrame) -> DataFrame:
+    """(word, options): the readings of each word that are left, as an array of (chain, reading, fit)."""
     strict = words.where(~F.exists("options", lambda o: o["gain"] > 0) & ~F.col("word").contains(LOST))
     chars = strict.select(F.explode(F.split("word", "")).alias("c"), "n").where(F.ascii("c") > 127).groupBy("c").agg(F.sum("n").alias("n"))
-    whole = chars.agg(F.sum("n")).first()[0] or 0
-    usual = "".join(r["c"] for r in chars.where(F.col("n") >= USUAL_PART * whole).orderBy(F.desc("n"), "c").limit(USUAL).collect()) or " "
+    share = chars.crossJoin(F.broadcast(chars.agg(F.sum("n").alias("whole")))).where(F.col("n") >= USUAL_PART * F.col("whole"))  # one row
+    usual = "".join(sorted(r["c"] for r in share.select("c").collect())) or " "
 
     def rare(reading):
         return F.length(F.translate(F.regexp_replace(reading, r"[\x00-\x7f]", ""), usual, ""))
@@ -211,38 +210,58 @@ def decide(df: DataFrame, text: str = "text", source: str = "source_rel", rounds
     # a word that no wrong decoding of UTF-8 explains in usual characters may be clean: how many sources have it tells
     clean = cut(words.where(~F.exists("options", lambda o: (o["gain"] > 0) & (rare(o["reading"]) == 0))).select("word", "sources", F.element_at("options", 1)["core"].alias("core")), "clean")
     spread = clean.groupBy("core").agg(F.sum("sources").alias("seen"))
-
     options = words.where(F.size("options") > 1).select("word", F.explode("options").alias("o")).select("word", "o.*")
     rated = options.unionByName(_lossy(words, clean)).join(spread, "core", "left")
     fit = F.col("gain") + 2 * F.log(F.coalesce(F.col("seen"), F.lit(0)) + F.lit(0.5)) - RARE_PENALTY * rare(F.col("reading")) - F.greatest(F.regexp_count("reading", F.lit("[À-ÿ](?=[À-ÿ])")) - 1, F.lit(0))
-    rated = rated.groupBy("word", "reading").agg(F.max_by("chain", fit).alias("chain"), F.max(fit).alias("fit"))
-    # no weight can make up for a fit this far below the best one; words with one reading left are only counted
-    each = Window.partitionBy("word")
-    rated = rated.withColumn("top", F.max("fit").over(each)).where(F.col("fit") >= F.col("top") + F.log(F.lit(FLOOR))).withColumn("left", F.count("*").over(each))
-    joined = cut(seen.join(rated.drop("top"), "word"), "readings")
-    sure, rated = joined.where("left = 1"), joined.where("left > 1")
-    held = cut(sure.groupBy("source", "chain").agg(F.sum("n").cast("double").alias("mass")), "sure")
-    own = Window.partitionBy("source", "word")
-    weights = None
-    for _ in range(rounds):
+    each = rated.select("word", "reading", "chain", fit.alias("fit")).repartition("word").groupBy("word", "reading").agg(F.max_by("chain", F.struct("fit", "chain")).alias("chain"), F.max("fit").alias("fit"))
+    arrays = each.groupBy("word").agg(F.collect_list(F.struct("chain", "reading", "fit")).alias("options"), F.max("fit").alias("top"))
+    # no weight can make up for a fit this far below the best one
+    return arrays.select("word", F.filter("options", lambda o: o["fit"] >= F.col("top") + F.log(F.lit(FLOOR))).alias("options"))
+
+
+def decide(df: DataFrame, text: str = "text", source: str = "source_rel", rounds: int = ROUNDS) -> DataFrame:
+    """(source, word, chain, reading, posterior): the reading of highest posterior of every word that has several.
+
+    What a word may be read as does not depend on its source, so readings and their fit are worked out once for each
+    distinct word; only the weights of the chains are learned for each source. Words of one source with the same chains
+    and fits are one row in the rounds, and all that a round writes is the mass of each source's chains. `source` comes
+    as source_key has it.
+    """
+    seen = cut(suspicious_words(df, text, source), "words")
+    words = cut(with_options(seen.groupBy("word").agg(F.count("*").alias("sources"), F.sum("n").alias("n"))), "options")
+    told = cut(seen.join(_rated(words), "word"), "readings")
+    alone = F.size("options") == 1
+    pattern = F.transform("options", lambda o: F.struct(o["chain"].alias("chain"), F.when(alone, 0.0).otherwise(o["fit"]).alias("fit")))
+    lean = cut(told.groupBy("source", pattern.alias("options")).agg(F.sum("n").alias("n")), "patterns")
+
+    def scored(rows: DataFrame, weights: tuple[DataFrame, DataFrame] | None) -> DataFrame:
+        """Rows with `scores`, the logarithm of each option's prior and likelihood, and their greatest, `top`."""
         if weights is None:
-            now = rated.withColumn("prior", F.when(F.col("chain") == SELF, 0.5).otherwise(0.1))
+            prior = lambda o: F.when(o["chain"] == SELF, 0.5).otherwise(0.1)
         else:
-            now = rated.join(weights[0], ["source", "chain"], "left").join(F.broadcast(weights[1]), "chain", "left").withColumn("prior", F.coalesce("own_prior", "base_prior", F.lit(FLOOR)))
-        score = F.col("fit") + F.log(F.greatest("prior", F.lit(FLOOR)))
-        best = now.withColumn("score", score).withColumn("top", F.max("score").over(own))
-        post = best.withColumn("p", F.exp(F.col("score") - F.col("top")))
-        post = post.withColumn("posterior", F.col("p") / F.sum("p").over(own))
-        mass = post.groupBy("source", "chain").agg(F.sum(F.col("n") * F.col("posterior")).alias("mass")).unionByName(held)
-        mass = cut(mass.groupBy("source", "chain").agg(F.sum("mass").alias("mass")), "mass")
-        base = mass.groupBy("chain").agg(F.sum("mass").alias("mass"))
-        base = base.crossJoin(F.broadcast(base.agg(F.sum("mass").alias("all")))).select("chain", ((F.col("mass") + 0.01) / (F.col("all") + 1)).alias("base_prior"))  # one row a chain
-        total = mass.groupBy("source").agg(F.sum("mass").alias("total"))
-        base = cut(base, "chains")
-        source_weights = mass.join(total, "source").join(F.broadcast(base), "chain").select("source", "chain", ((F.col("mass") + SMOOTHING * F.col("base_prior")) / (F.col("total") + SMOOTHING)).alias("own_prior"))
-        weights = (cut(source_weights, "weights"), base)
-    top = post.groupBy("source", "word").agg(F.max_by(F.struct("chain", "reading", "posterior"), F.struct("posterior", "chain")).alias("o"))
-    return top.select("source", "word", "o.*").unionByName(sure.select("source", "word", "chain", "reading", F.lit(1.0).alias("posterior")))
+            rows = rows.join(weights[0], "source").crossJoin(F.broadcast(weights[1]))  # one row
+            smooth = lambda o: F.coalesce(F.try_element_at("own", o["chain"]), F.lit(0.0)) + SMOOTHING * F.coalesce(F.try_element_at("base", o["chain"]), F.lit(0.0))
+            prior = lambda o: smooth(o) / (F.col("total") + SMOOTHING)
+        scores = F.transform("options", lambda o: o["fit"] + F.log(F.greatest(prior(o), F.lit(FLOOR))))
+        return rows.withColumn("scores", scores).withColumn("top", F.array_max("scores"))
+
+    parts = F.transform("scores", lambda s: F.exp(s - F.col("top")))
+    weights = None
+    for _ in range(rounds - 1):
+        post = scored(lean, weights).withColumn("parts", parts)
+        whole = F.aggregate("parts", F.lit(0.0), lambda a, b: a + b)
+        mass = post.select("source", F.explode(F.zip_with("options", "parts", lambda o, p: F.struct(o["chain"].alias("chain"), (F.col("n") * p / whole).alias("mass")))).alias("m"))
+        mass = cut(mass.groupBy("source", "m.chain").agg(F.sum("m.mass").alias("mass")), "mass")
+        own = mass.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("chain", "mass"))).alias("own"), F.sum("mass").alias("total"))
+        of_chain = mass.groupBy("chain").agg(F.sum("mass").alias("mass")).agg(F.collect_list(F.struct("chain", "mass")).alias("all"), F.sum("mass").alias("every"))
+        base = of_chain.select(F.map_from_entries(F.transform("all", lambda c: F.struct(c["chain"], (c["mass"] + 0.01) / (F.col("every") + 1)))).alias("base"))
+        weights = (own, base)
+    open_ = scored(told.where(~alone), weights)
+    best = F.array_max(F.zip_with("options", "scores", lambda o, s: F.struct(s.alias("score"), o["chain"].alias("chain"), o["reading"].alias("reading"))))
+    posterior = 1 / F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)
+    chosen = open_.withColumn("best", best).select("source", "word", "best.chain", "best.reading", posterior.alias("posterior"))
+    only = F.element_at("options", 1)
+    return chosen.unionByName(told.where(alone).select("source", "word", only["chain"].alias("chain"), only["reading"].alias("reading"), F.lit(1.0).alias("posterior")))
 
 
 def _lossy(words: DataFrame, clean: DataFrame) -> DataFrame:
@@ -278,7 +297,7 @@ def repaired(df: DataFrame, key: str = "page_id", text: str = "text", source: st
     without a case keeps its text, a null source is a source of its own, and repeated records are repaired alike.
     """
     decisions = decide(df, text, source, rounds).where(F.col("chain") != SELF).select("source", "word", "chain", "reading")
-    slim = df.select(F.col(key).alias("_key"), F.col(source).cast("string").alias("source"), F.col(text).alias("_text"))
+    slim = df.select(F.col(key).alias("_key"), source_key(F.col(source)).alias("source"), F.col(text).alias("_text"))
     odd = F.coalesce(F.col("_text").rlike(r"[^\x00-\x7f]|&[#A-Za-z]"), F.lit(False))
 
     @F.pandas_udf("array<string>")
@@ -315,8 +334,7 @@ def repaired(df: DataFrame, key: str = "page_id", text: str = "text", source: st
 
 def _hits(used: DataFrame, decisions: DataFrame) -> DataFrame:
     """The decisions on each row's words, as one array."""
-    u, d = used.alias("u"), decisions.alias("d")
-    hit = u.join(d, (F.col("u.word") == F.col("d.word")) & F.col("u.source").eqNullSafe(F.col("d.source"))).select("u._row", "u.word", "d.reading", "d.chain")
+    hit = used.join(decisions, ["source", "word"])
     return hit.groupBy("_row").agg(F.collect_list(F.struct("word", "reading", "chain")).alias("_pairs"))
 
 

@@ -51,3 +51,17 @@ def test_pages_are_named_and_repaired(spark):
 
 def test_no_pages(spark):
     assert encoding.garbled(pages(spark, []).where("false")).count() == 0
+
+
+def test_a_null_source_is_a_source(spark):
+    text = "A word of Søla and Lomé costs ₹300 at √7"
+    for name in (None, "named"):
+        df = pages(spark, [(200 + i, name, wrong(text, ("mac_roman",))) for i in range(3)])
+        told = encoding.decide(df).where(encoding.source_key(encoding.F.lit(name)) == encoding.F.col("source"))
+        assert {r["chain"] for r in told.collect()} == {"mac_roman"}
+        assert {r["text"] for r in encoding.repaired(df).where("page_id >= 200").collect()} == {text}
+
+
+def test_any_number_of_wrong_decodings():
+    bad = wrong("₹", ("latin-1",) * 5)
+    assert "₹" in {r for _, r, _ in encoding.readings(bad)}
