@@ -31,12 +31,11 @@ PARTS = {
     "5": "s", "8": "ii", "9": "g", "@": "a", "e": "c", "f": "t",
 }
 FIGURES = str.maketrans({"l": "1", "I": "1", "|": "1", "i": "1", "O": "0", "o": "0", "S": "5", "s": "5"})
-_PARTS = str.maketrans(PARTS)
 _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
 
 LOST = "\ufffd"
 _TOKEN = re.compile(r"[\w@|!\ufffd]+")
-_DIGITS, _NOT_WORD = re.compile(r"\d+"), re.compile(r"[\W_]+")
+_NOT_LETTER, _NOT_WORD = re.compile(r"[\W\d_]+"), re.compile(r"[\W_]+")
 _COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 _NUMBER = re.compile(r"(?=.*\d)(?=.*[lOSI|o])[\dlOSI|o]+")
 _NUMERAL = re.compile(r"(?=.)c{0,3}(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})")
@@ -54,7 +53,17 @@ _NEXT = re.compile(r"\s*(?P<right>[^\W\d_][\w@|!]*)")
 
 def shape(text: str) -> str:
     """A text with all characters that scanners confuse written alike; equal shapes may be readings of one text."""
-    return text.lower().translate(_PARTS)
+    text = text.lower()
+    for c, parts in PARTS.items():  # no part is a key, so one after the other is all at once
+        text = text.replace(c, parts)
+    return text
+
+
+def wording(line: str) -> str:
+    """The shape of a line's letters: what is left without figures, spaces and punctuation."""
+    for c in "@!|":
+        line = line.replace(c, PARTS[c])
+    return shape(_NOT_LETTER.sub("", line))
 
 
 def number(label: str) -> int | None:
@@ -110,9 +119,9 @@ def edge_lines(lines: list[str]) -> Iterator[tuple]:
                 yield i, top, bottom, "", False, number(label), True, roman or marked
             if not top or not bottom:
                 continue
-        rest, found = numbered_line(line) or (_DIGITS.sub("", line), None)
+        rest, found = numbered_line(line) or (None, None)
         body = line[-1] in ".?!,;।”" or line[0].islower() or (len(line) > 30 and len(line) >= FULL * width)  # reads like text
-        yield i, top, bottom, _NOT_WORD.sub("", shape(rest)), body, found, False, False
+        yield i, top, bottom, wording(line) if rest is None else _NOT_WORD.sub("", shape(rest)), body, found, False, False
 
 
 def first_pass(pages: DataFrame) -> DataFrame:
@@ -127,7 +136,7 @@ def first_pass(pages: DataFrame) -> DataFrame:
         every, clean = Counter(), Counter()
 
         def words() -> pd.DataFrame:
-            rows = [("word", *[None] * 11, w, shape(w), n, clean[w]) for w, n in every.items()]
+            rows = [("word", *[None] * 11, w, shape(w), n, clean[w]) for w, n in every.items() if _is_word(w)]
             every.clear()
             clean.clear()
             return pd.DataFrame(rows, columns=names)
@@ -139,7 +148,7 @@ def first_pass(pages: DataFrame) -> DataFrame:
                     continue
                 lines = t.split("\n")
                 edges += [("edge", p, f, at, *e, None, None, None, None) for e in edge_lines(lines)]
-                found = list(whole_words(t, lines, _broken(lines) if _CUT.search(t) else []))
+                found = whole_words(t, lines, _broken(lines) if _CUT.search(t) else [])
                 every.update(found)
                 if method and method != "ocr":
                     clean.update(found)
@@ -191,8 +200,8 @@ def _body(text: str, skip: set[int]) -> list[tuple[int, str]]:
     return [(i, x) for i, x in enumerate(text.split("\n")) if i not in skip]
 
 
-def whole_words(text: str, lines: list[str], broken: list[tuple[int, str, str, str]]) -> Iterator[str]:
-    """Lower-case words of a page that are whole (not those at a broken line end or after it), and its compounds."""
+def whole_words(text: str, lines: list[str], broken: list[tuple[int, str, str, str]]) -> list[str]:
+    """Lower-case tokens of a page that are whole (not those at a broken line end or after it), and its compounds."""
     if broken:
         lines = list(lines)
         for i, left, mark, right in broken:
@@ -200,13 +209,16 @@ def whole_words(text: str, lines: list[str], broken: list[tuple[int, str, str, s
             lines[i + 1] = lines[i + 1].lstrip()[len(right) :]
         text = "\n".join(lines)
     text = text.lower()
-    for w in _TOKEN.findall(text):
-        if not w.isdigit() and LOST not in w:  # characters lost by a wrong decoding are no misreading
-            yield w
-    if "-" in text:
-        for w in text.split():
-            if "-" in w:
-                yield from _COMPOUND.findall(w)
+    words = _TOKEN.findall(text)
+    for w in text.split() if "-" in text else ():
+        if "-" in w:
+            words += _COMPOUND.findall(w)
+    return words
+
+
+def _is_word(token: str) -> bool:
+    """Figures are no words, and characters lost by a wrong decoding are no misreading."""
+    return not token.isdigit() and LOST not in token
 
 
 def _broken(lines: list[str]) -> list[tuple[int, str, str, str]]:
@@ -255,7 +267,7 @@ def analysed(df: DataFrame, key: str = "page_id", text: str = "text", source: st
                     l, r = left.lower(), right.lower()
                     tail = l.rpartition("-")[2]
                     out.append((p, "broken", i, tail + r, f"{l}-{r}", tail, r, mark))
-                rare = {w for w in whole_words(t, lines, broken) if w not in known and "-" not in w}
+                rare = {w for w in set(whole_words(t, lines, broken)) - known if "-" not in w and _is_word(w)}
                 if rare:  # where a word stands in the lines between the edges, those decide; else the edge line
                     edge = {i for i, _, _ in edge_places(lines)}
                     inner = rare.intersection(_TOKEN.findall("\n".join(x for i, x in enumerate(lines) if i not in edge).lower()))
