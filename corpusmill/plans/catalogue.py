@@ -425,6 +425,47 @@ def chunked_pages(spark: SparkSession, d: str) -> DataFrame:
     return chunking.chunk_documents(one.withColumns({c: F.array().cast(kinds[c].dataType) for c in ("spans", "tables")}))
 
 
+#: Files as documents: every chunk is a page, text chunks with spans as above, table chunks with a table.
+FILE_LINES = f"""
+SELECT doc, page, i AS pos, t AS text, ((length(t) % 7) * 0.5 + 9)::DOUBLE AS size, length(t) % 3 = 0 AS bold
+FROM (SELECT doc, page, unnest(l) AS t, generate_subscripts(l, 1) AS i FROM (SELECT {CLEAN.format('source_file')} AS doc, chunk_seq AS page, list_filter(list_transform(string_split(text, chr(10)), lambda x: {STRIP % 'x'}), lambda x: x <> '') AS l FROM chunks WHERE chunk_type = 'text'))"""
+FILE_CHUNKS = rf"""
+WITH line AS MATERIALIZED ({FILE_LINES}),
+body AS (SELECT doc, s AS body_size, row_number() OVER (PARTITION BY doc ORDER BY count(*) DESC, min({{'a': page, 'b': pos}})) AS r FROM (SELECT doc, page, pos, round_even(size, 0) AS s FROM line) GROUP BY doc, s),
+head AS MATERIALIZED (SELECT line.*, length(text) <= 120 AND regexp_matches(text, '[A-Za-z]{{3,}}') AND NOT regexp_matches(text, '^[\d\.\s\-–—]+$') AND (size >= body_size * 1.15::DOUBLE OR (bold AND size >= body_size * 1.05::DOUBLE)) AS is_heading
+  FROM line JOIN body ON body.doc = line.doc AND r = 1),
+known AS (SELECT doc, count(*) FILTER (WHERE is_heading) >= 2 AS in_sections, min(page) AS f, max(page) AS l, list(text ORDER BY page, pos) AS units FROM head GROUP BY doc),
+sec AS MATERIALIZED (SELECT *, last_value(heading IGNORE NULLS) OVER (PARTITION BY doc ORDER BY section_id ROWS UNBOUNDED PRECEDING) AS running FROM (
+  SELECT doc, section_id, max(CASE WHEN is_heading THEN text END) AS heading, min(page) AS page_start, max(page) AS page_end, string_agg(text, chr(10) ORDER BY page, pos) FILTER (WHERE NOT is_heading) AS txt
+  FROM (SELECT *, sum(is_heading::INT) OVER (PARTITION BY doc ORDER BY page, pos ROWS UNBOUNDED PRECEDING) AS section_id FROM head SEMI JOIN (SELECT doc FROM known WHERE in_sections) USING (doc)) GROUP BY doc, section_id)),
+packed AS (SELECT doc, section_id::BIGINT AS section_id, heading, page_start, page_end, {_paragraphs_sql('txt')} AS packed FROM sec WHERE txt IS NOT NULL
+  UNION ALL SELECT doc, 0, NULL, f, l, {_pack_sql('units', 'chr(10)', _sentences_sql, 'p')} FROM known WHERE NOT in_sections),
+texts AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY section_id, piece_no) - 1 AS n FROM ({_unpacked('FROM packed', 'doc, section_id, heading, page_start, page_end')}) WHERE length({STRIP % 'text'}) >= 20),
+kinds AS (SELECT {CLEAN.format('source_file')} AS doc, max(doc_type) AS doc_type FROM chunks GROUP BY 1),
+tables AS (SELECT t.*, {CLEAN.format('c.source_file')} AS doc FROM ({_unpacked(PACKED_TABLES, 'chunk_seq')}) t JOIN chunks c USING (chunk_seq) WHERE length({STRIP % 't.text'}) >= 10),
+headed AS (SELECT t.chunk_seq, arg_min_null(s.running, s.section_id) AS heading FROM (SELECT DISTINCT chunk_seq, doc FROM tables) t JOIN sec s ON s.doc = t.doc AND s.page_start <= t.chunk_seq AND s.page_end >= t.chunk_seq GROUP BY t.chunk_seq)
+SELECT doc || '::text::' || n::VARCHAR AS chunk_id, doc AS source_file, doc_type, 'text' AS chunk_type, heading, page_start::INTEGER AS page_start, page_end::INTEGER AS page_end, text, length(text)::INTEGER AS char_count FROM texts JOIN kinds USING (doc)
+UNION ALL SELECT doc || '::table::' || chunk_seq::VARCHAR || '::0::' || piece_no::VARCHAR, doc, doc_type, 'table', heading, chunk_seq::INTEGER, chunk_seq::INTEGER, text, length(text)::INTEGER FROM tables JOIN kinds USING (doc) LEFT JOIN headed USING (chunk_seq)"""
+
+
+@query(FILE_CHUNKS)
+def chunked_files(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of files with spans and tables: headings, sections, pieces, tables under the heading of their page."""
+    from .. import schemas
+
+    is_text = F.col("chunk_type") == "text"
+    line = lambda t: F.struct(t.alias("text"), ((F.length(t) % 7) * 0.5 + 9).cast("double").alias("size"), (F.length(t) % 3 == 0).alias("bold"), F.lit(None).cast("array<double>").alias("bbox"))
+    lines = F.filter(F.transform(F.split("text", "\n"), X.strip), lambda x: x != "")
+    cells = F.transform(F.split("text", "\n"), lambda r: F.split(r, r" \| ", -1))
+    kinds = spark.createDataFrame([], schemas.PAGES).schema
+    pages = table(spark, d, "chunks").select(
+        clean_path(F.col("source_file")).alias("source_rel"), "doc_type", F.col("chunk_seq").cast("int").alias("page_num"), F.lit("").alias("text"), F.lit("table").alias("method"),
+        F.when(is_text, F.transform(lines, line)).otherwise(F.array().cast(kinds["spans"].dataType)).alias("spans"),
+        F.when(~is_text, F.array(cells)).otherwise(F.array().cast(kinds["tables"].dataType)).alias("tables"),
+    )
+    return chunking.chunk_documents(pages)
+
+
 CLEAN_DOCUMENTS = f"SELECT * FROM (SELECT *, {_verdict('t', 'length(t) < 40', 'EMPTY')} AS verdict FROM (SELECT *, {STRIP % "coalesce(text, '')"} AS t FROM documents)) WHERE verdict = 'CLEAN'"
 PASSAGES = _unpacked(f"SELECT doc_id, source, {_paragraphs_sql('text')} AS packed FROM ({CLEAN_DOCUMENTS})", "doc_id, source")
 
