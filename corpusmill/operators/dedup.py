@@ -52,14 +52,19 @@ def annotate(chunks: DataFrame, links: DataFrame) -> DataFrame:
     return chunks.join(ends, "source_file", "left")
 
 
-def chunk_stats(won: DataFrame, chunks: DataFrame, links: DataFrame) -> DataFrame:
-    """One row: raw, kept and dropped chunks, the longest text, linked chunks and linked files."""
+def chunk_stats(won: DataFrame, chunks: DataFrame, links: DataFrame, given: DataFrame | None = None) -> DataFrame:
+    """One row: raw, kept and dropped chunks, the longest text, linked chunks and linked files and, with the links as they
+    were given, how many of them start at a file that gave way to another."""
     kept = won.where("survives").join(chunks.select("chunk_seq", F.length("text").alias("size")), "chunk_seq")
     linked = annotate(kept, links)
-    return linked.agg(
+    stats = linked.agg(
         F.count("*").alias("total_chunks"), F.max("size").cast("long").alias("max_chars"), F.count("linked_source").alias("linked_chunks"),
         F.countDistinct(F.when(F.col("linked_source").isNotNull(), F.col("source_file"))).alias("linked_files"),
-    ).crossJoin(won.agg(F.count("*").alias("raw_chunks")))  # one row each
+    ).crossJoin(won.agg(F.count("*").alias("raw_chunks"))).withColumn("dropped_chunks", F.col("raw_chunks") - F.col("total_chunks"))  # one row each
+    if given is None:
+        return stats
+    moved = given.join(aliases(won).select(F.col("original_file").alias("path")), "path", "left_semi")
+    return stats.crossJoin(moved.agg(F.countDistinct("path").alias("aliased_links")))  # one row each
 
 
 def store_order(chunks: DataFrame) -> DataFrame:

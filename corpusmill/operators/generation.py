@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -66,6 +68,50 @@ JUDGE = "Judge one question against its excerpts. Answer with JSON: answer_corre
 VERDICT = "answer_correct boolean, shortcut_grounded boolean, confidence double, notes string"
 
 
+def request_fault(topic: Column, n: Column, k: Column) -> Column:
+    """What is wrong with a request, null where nothing is: the bounds of `check_request` over columns."""
+    size = F.length(F.trim(topic))
+    return (
+        F.when(~F.coalesce(size.between(2, 200), F.lit(False)), "topic")
+        .when(~F.coalesce(n.between(1, 8), F.lit(False)), "n")
+        .when(~F.coalesce(k.between(2, 12), F.lit(False)), "k")
+    )
+
+
+class Refused(Exception):
+    """An answer of a provider that is no success."""
+
+    def __init__(self, status: int, message: str = "") -> None:
+        super().__init__(f"{status}: {message}")
+        self.status, self.message = status, message
+
+
+# Answers after which a request is worth repeating, how often, and how providers name the time to wait.
+RETRYABLE, RETRIES, WAIT = frozenset({429, 500, 502, 503, 504}), 4, re.compile(r"try again in ([\d.]+)s", re.I)
+
+
+def waiting_time(message: str, attempt: int) -> float:
+    """Seconds before the next attempt: half a second more than the provider asks for, else doubled each time."""
+    asked = WAIT.search(message)
+    return float(asked[1]) + 0.5 if asked else float(2**attempt)
+
+
+def retried(call: Callable[[str], str], retries: int = RETRIES, sleep: Callable[[float], None] = time.sleep) -> Callable[[str], str]:
+    """`call`, repeated while the provider refuses with a status that may pass; the last refusal is raised."""
+
+    def patient(prompt: str) -> str:
+        for attempt in range(retries):
+            try:
+                return call(prompt)
+            except Refused as e:
+                if e.status not in RETRYABLE:
+                    raise
+                sleep(waiting_time(e.message, attempt))
+        return call(prompt)
+
+    return patient
+
+
 def check_request(topic: str, n: int = 3, k: int = 6) -> None:
     """Refuse a request beyond its bounds."""
     if not 2 <= len(topic.strip()) <= 200:

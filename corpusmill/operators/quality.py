@@ -57,33 +57,37 @@ def better_text(native: Column, ocr: Column) -> Column:
 
 
 def ocr_fallback(pages: DataFrame, read: Callable[[str, int], str], file: str = "source_rel", page: str = "page_num", text: str = "text", most: int = OCR_PAGES) -> DataFrame:
-    """Pages whose text is not clean, read again by `read(file, page)` within each file's budget.
+    """Pages whose text is not clean, read again by `read(file, page)` until a file has had `most` successful readings.
 
     The reading is taken where it is longer; such a page has method ocr and neither spans nor tables. Pages beyond the
-    budget, and those whose reading fails, keep their text and say so in `note`. The budget counts pages in their order,
-    failed readings too. Only pages that are to be read reach the reader.
+    budget, and those whose reading fails, keep their text and say so in `note`; failed readings are not charged. A page
+    that was delivered twice is read once. Only the numbers of pages that are to be read reach the reader, each file's in
+    order, one after the other.
     """
-    bad = page_quality(pages, text).withColumn("_bad", F.col("verdict") != "CLEAN")
-    ranked = bad.withColumn("_rank", F.when(F.col("_bad"), F.sum(F.col("_bad").cast("int")).over(Window.partitionBy(file).orderBy(page).rowsBetween(Window.unboundedPreceding, 0))))
+    judged = page_quality(pages, text).withColumn("_bad", F.col("verdict") != "CLEAN").drop("verdict")
+    asked = judged.where("_bad").select(F.col(file).alias("file"), F.col(page).cast("int").alias("page")).distinct()
 
-    @F.pandas_udf("text string, error string")
-    def reread(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for files, numbers in batches:
+    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, used = object(), 0
+        for batch in batches:
             out = []
-            for f, n in zip(files, numbers):
+            for f, n in zip(batch["file"], batch["page"]):
+                if f != current:
+                    current, used = f, 0
+                if used >= most:
+                    out.append((f, n, None, "ocr budget used up"))
+                    continue
                 try:
-                    out.append((read(f, int(n)), None))
+                    out.append((f, n, read(f, int(n)), None))
+                    used += 1
                 except Exception as e:  # noqa: BLE001  a page that cannot be read keeps its text
-                    out.append((None, f"page {n}: ocr failed: {e}"))
-            yield pd.DataFrame(out, columns=["text", "error"])
+                    out.append((f, n, None, f"ocr failed: {type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=["file", "page", "new", "note"])
 
-    asked = ranked.where(F.col("_rank") <= most).withColumn("_new", reread(F.col(file), F.col(page)))
-    longer = F.length(X.strip(F.coalesce(F.col("_new.text"), F.lit("")))) > F.length(X.strip(F.coalesce(F.col(text), F.lit(""))))
+    known = asked.where("page IS NOT NULL").repartition("file").sortWithinPartitions("file", "page").mapInPandas(again, "file string, page int, new string, note string")
+    met = judged["_bad"] & judged[file].eqNullSafe(known["file"]) & judged[page].eqNullSafe(known["page"])
+    longer = F.length(X.strip(F.coalesce("new", F.lit("")))) > F.length(X.strip(F.coalesce(F.col(text), F.lit(""))))
     kinds = pages.schema
-    read_again = asked.select(
-        *[F.when(longer, F.array().cast(kinds[c].dataType)).otherwise(F.col(c)).alias(c) if c in ("spans", "tables") else F.when(longer, "ocr").otherwise(F.col(c)).alias(c) if c == "method"
-          else better_text(F.col(text), F.col("_new.text")).alias(c) if c == text else F.col(c) for c in pages.columns],
-        F.col("_new.error").alias("note"),
-    )
-    others = ranked.where("_rank IS NULL OR _rank > " + str(int(most)))
-    return read_again.unionByName(others.select(*pages.columns, F.when(F.col("_rank").isNotNull(), F.lit("ocr budget used up")).alias("note")))
+    new = {c: F.when(longer, F.array().cast(kinds[c].dataType)).otherwise(F.col(c)) for c in ("spans", "tables") if c in pages.columns}
+    new |= {text: F.when(longer, F.col("new")).otherwise(F.col(text))} | ({"method": F.when(longer, "ocr").otherwise(F.col("method"))} if "method" in pages.columns else {})
+    return judged.join(known, met, "left").select(*[new.get(c, judged[c]).alias(c) for c in pages.columns], "note")

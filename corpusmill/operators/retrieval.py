@@ -88,6 +88,12 @@ def search(queries: DataFrame, corpus: DataFrame, k: int = K, where: Column | No
     return hits
 
 
+def projected(hits: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Hits with what is shown of their chunk (chunk_seq): empty headings, as stores without nulls keep them, are null."""
+    shown = chunks.select(F.col("chunk_seq").alias("vec_id"), "source_file", F.nullif("heading", F.lit("")).alias("heading"), "page_start", "text")
+    return hits.join(shown, "vec_id")
+
+
 def any_contains(text: Column, needles: Column) -> Column:
     """Whether a text has any of the needles, letter case aside."""
     return F.exists(needles, lambda n: F.contains(F.lower(text), F.lower(n)))
@@ -102,4 +108,4 @@ def hit_rates(hits: DataFrame, by: str, ks: tuple[int, ...] = (1, 3, 5)) -> Data
     return rows.select(
         F.when(F.col("_all") == 1, "all").otherwise(F.col(by)).alias("section"), "k", "n", "content_hits", "source_hits",
         F.round(F.col("content_hits") / F.col("n"), 4).alias("content_rate"), F.round(F.col("source_hits") / F.col("n"), 4).alias("source_rate"),
-    )
+    ).orderBy("section", "k")

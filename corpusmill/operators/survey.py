@@ -14,7 +14,7 @@ BUCKETS = ((20, "0-20"), (50, "21-50"), (100, "51-100"), (300, "101-300"), (600,
 def extension_census(files: DataFrame, path: str, size: str) -> DataFrame:
     """Files and bytes of each extension and, as 'all', of everything."""
     rows = files.select(suffix(F.col(path)).alias("ext"), F.col(size).alias("_size")).rollup("ext").agg(F.count("*").alias("files"), F.coalesce(F.sum("_size"), F.lit(0)).alias("total"))
-    return rows.select(F.coalesce("ext", F.lit("all")).alias("ext"), "files", F.col("total").cast("long").alias("total"))
+    return rows.select(F.coalesce("ext", F.lit("all")).alias("ext"), "files", F.col("total").cast("long").alias("total")).orderBy(F.desc("files"), "ext")
 
 
 def bucket(pages: Column) -> Column:
@@ -32,6 +32,12 @@ def page_histogram(files: DataFrame, pages: str) -> DataFrame:
     return names.join(held, "bucket", "left").select("bucket_no", "bucket", F.coalesce("files", F.lit(0)).alias("files"), F.coalesce("pages", F.lit(0)).alias("pages"))
 
 
+def census(files: DataFrame, pages: str = "n_pages", error: str = "error") -> DataFrame:
+    """One row: files whose pages were counted, their pages, and files that could not be read."""
+    counted = F.col(error).isNull() & F.col(pages).isNotNull()
+    return files.agg(F.count_if(counted).alias("files"), F.coalesce(F.sum(F.when(counted, F.col(pages))), F.lit(0)).cast("long").alias("pages"), F.count_if(F.col(error).isNotNull()).alias("errors"))
+
+
 def largest(files: DataFrame, count: str, key: str, n: int = 25) -> DataFrame:
     return files.select(key, count).orderBy(F.desc(count), F.desc(key)).limit(n)
 

@@ -279,11 +279,12 @@ def annotated_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""SELECT count(*) FILTER (WHERE survives) AS total_chunks, max(length(text)) FILTER (WHERE survives) AS max_chars, count(linked_to) FILTER (WHERE survives) AS linked_chunks,
-count(DISTINCT CASE WHEN linked_to IS NOT NULL AND survives THEN w.source_file END) AS linked_files, count(*) AS raw_chunks
+count(DISTINCT CASE WHEN linked_to IS NOT NULL AND survives THEN w.source_file END) AS linked_files, count(*) AS raw_chunks, count(*) FILTER (WHERE NOT survives) AS dropped_chunks,
+(SELECT count(DISTINCT path) FROM ({LINK_TABLE}) g SEMI JOIN ({ALIASES}) a ON a.original_file = g.path) AS aliased_links
 FROM ({WINNERS}) w JOIN chunks c USING (chunk_seq) LEFT JOIN ({REMAPPED}) l ON l.path = w.source_file""")
 def chunk_stats(spark: SparkSession, d: str) -> DataFrame:
     chunks = table(spark, d, "chunks")
-    return dedup.chunk_stats(dedup.winners(chunks), chunks, _remapped(spark, d))
+    return dedup.chunk_stats(dedup.winners(chunks), chunks, _remapped(spark, d), _links(spark, d))
 
 
 @query("SELECT chunk_type, doc_type, count(*) AS chunks, round(avg(length(text)), 4) AS avg_chars, max(length(text)) AS max_chars FROM chunks GROUP BY ALL")

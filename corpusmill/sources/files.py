@@ -6,7 +6,7 @@ import io
 import re
 import zipfile
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import suffix
+from ..operators.chunking import plausible_table
 
 SUPPORTED = (".pdf", ".htm", ".html", ".docx")
-OCR_PAGES = 60
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
@@ -81,21 +81,24 @@ def _docx(content: bytes) -> list[tuple]:
     return [(0, "\n".join(paragraphs), "python-docx", spans, [])]
 
 
-#: Content -> rows (page_num, text, method, spans, tables). A PDF reader is passed in where a library for it is there.
-Reader = Callable[[bytes], list[tuple]]
+#: Content -> rows (page_num, text, method, spans, tables), or (page_num, exception) for a page that cannot be read. A PDF
+#: reader is passed in where a library for it is there.
+Reader = Callable[[bytes], Iterable[tuple]]
 READERS: dict[str, Reader] = {".htm": _html, ".html": _html, ".docx": _docx}
 
 
-def pages(spark: SparkSession, root: str, readers: dict[str, Reader] | None = None, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(pages, errors) of every supported file below a folder.
+def pages(spark: SparkSession, root: str, readers: dict[str, Reader] | None = None, tasks: int | None = None, max_pages: int | None = None, every: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(pages, errors) of every supported file below a folder; with `every` other files are rows of errors.
 
-    A file that cannot be read, or has no reader, gives a row of errors and no pages. Small files are spread over
-    `tasks` tasks, as a scan packs many of them into one.
+    A file that cannot be read, or has no reader, gives a row of errors and no pages; a page that cannot be read gives a
+    row of errors with its number, and the others stay. Pages beyond `max_pages` are left out. Tables that are not
+    plausible are dropped. Small files are spread over `tasks` tasks, as a scan packs many of them into one.
     """
     readers = READERS | (readers or {})
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     plain = F.regexp_replace(F.regexp_replace("path", "^file:/+", "/"), "%20", " ")
-    rows = found.select(F.substr(plain, F.lit(len(root.rstrip("/")) + 2)).alias("source_rel"), suffix(plain).alias("ext"), "content").where(F.col("ext").isin(*SUPPORTED))
+    rows = found.select(F.substr(plain, F.lit(len(root.rstrip("/")) + 2)).alias("source_rel"), suffix(plain).alias("ext"), "content")
+    rows = rows if every else rows.where(F.col("ext").isin(*SUPPORTED))
     if tasks:
         rows = rows.repartition(tasks)
 
@@ -106,14 +109,25 @@ def pages(spark: SparkSession, root: str, readers: dict[str, Reader] | None = No
                 try:
                     if ext not in readers:
                         raise ValueError(f"unsupported extension {ext}")
-                    for number, text, method, spans, tables in readers[ext](bytes(content)):
-                        out.append((rel, "html" if ext.startswith(".htm") else ext[1:], number, text, method, spans, tables, None))
+                    kind = "html" if ext.startswith(".htm") else ext[1:]
+                    for number, *page in readers[ext](bytes(content)):
+                        if max_pages is not None and number > max_pages:
+                            break
+                        if len(page) == 1:
+                            out.append((rel, kind, number, None, None, None, None, f"page {number} failed: {type(page[0]).__name__}: {page[0]}"))
+                        else:
+                            out.append((rel, kind, number, *page, None))
                 except Exception as e:  # noqa: BLE001  a broken file is a row, not the end of the job
                     out.append((rel, ext[1:], None, None, None, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["source_rel", "doc_type", "page_num", "text", "method", "spans", "tables", "error"])
 
-    everything = rows.mapInPandas(read, schemas.PAGES + ", error string")
-    return everything.where("error IS NULL").drop("error"), everything.where("error IS NOT NULL").select("source_rel", "doc_type", "error")
+    everything = rows.mapInPandas(read, schemas.PAGES + ", error string").withColumn("tables", F.filter("tables", plausible_table))
+    return everything.where("error IS NULL").drop("error"), everything.where("error IS NOT NULL").select("source_rel", "doc_type", "page_num", "error")
+
+
+def page_counts(pages: DataFrame, file: str = "source_rel", page: str = "page_num") -> DataFrame:
+    """(file, n_pages): how many different pages each file has."""
+    return pages.groupBy(file).agg(F.countDistinct(page).alias("n_pages"))
 
 
 def spans_of(raw: DataFrame) -> DataFrame:

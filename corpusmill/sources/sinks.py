@@ -31,8 +31,9 @@ def load_vectors(vectors: DataFrame, path: str, key: str = "chunk_id", resume: b
     remaining(vectors, have, key).write.mode("append").parquet(path)
 
 
-def report(rows: DataFrame, path: str) -> None:
-    """Rows as JSON documents, one a line."""
+def report(rows: DataFrame, path: str, dated: bool = False) -> None:
+    """Rows as JSON documents, one a line, with the time of writing where asked for."""
+    rows = rows.withColumn("generated_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")) if dated else rows
     rows.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
 
 

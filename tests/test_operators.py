@@ -268,6 +268,12 @@ def test_files_become_pages(spark, tmp_path):
     assert texts["a b/x.HTML"]["text"].split() == ["Tom", "&", "Ann", "end"] and "\n\n\n" not in texts["a b/x.HTML"]["text"]
     assert texts["y.docx"]["text"] == "Head\nBody text" and texts["y.docx"]["spans"][0]["text"] == "Head"
     assert {r["source_rel"] for r in errors.collect()} == {"broken.docx", "z.pdf"}
+    table = [["a", "b"], ["c", "d"]]
+    pdf = lambda content: [(1, "one", "pdf", [], [table, [["x"]]]), (2, ValueError("torn")), (3, "three", "pdf", [], []), (4, "four", "pdf", [], [])]
+    read, failed = files.pages(spark, str(tmp_path), {".pdf": pdf}, max_pages=3, every=True)
+    assert {(r["page_num"], len(r["tables"])) for r in read.where("doc_type = 'pdf'").collect()} == {(1, 1), (3, 0)}
+    assert {(r["source_rel"], r["page_num"]) for r in failed.collect()} == {("z.pdf", 2), ("broken.docx", None), ("skip.txt", None), ("pack.zip", None), ("bad.zip", None)}
+    assert {(r["source_rel"], r["n_pages"]) for r in files.page_counts(read).collect()} >= {("z.pdf", 2)}
     kept = chunking.docx_lines(got)
     assert kept.where("doc_type = 'docx'").first()["spans"] == [] and chunking.docx_lines(got, drop_body=True) is got
     listed = files.listing(spark, str(tmp_path))
@@ -321,7 +327,9 @@ def test_ocr_fallback(spark):
     df = pages(spark, [("f", "pdf", 1, "", "pymupdf", [span("x")], [[["a"]]]), ("f", "pdf", 2, "", "pymupdf", [], []), ("f", "pdf", 3, "y" * 80, "pymupdf", [], []), ("f", "pdf", 4, None, "pymupdf", [], [])])
     got = {r["page_num"]: r for r in quality.ocr_fallback(df, read, most=2).collect()}
     assert got[1]["text"] == "r" * 60 and got[1]["method"] == "ocr" and got[1]["spans"] == [] and got[1]["tables"] == []
-    assert got[2]["text"] == "" and "no scan" in got[2]["note"] and got[3]["note"] is None and got[4]["text"] is None and "budget" in got[4]["note"]
+    assert got[2]["text"] == "" and "no scan" in got[2]["note"] and got[3]["note"] is None and got[4]["text"] == "r" * 60  # a failed reading is not charged
+    last = {r["page_num"]: r for r in quality.ocr_fallback(df, read, most=1).collect()}
+    assert last[1]["method"] == "ocr" and last[4]["text"] is None and "budget" in last[4]["note"] and "budget" in last[2]["note"]
 
 
 def test_extraction_cache(spark, tmp_path):
@@ -352,6 +360,29 @@ def test_generation_and_judging(spark):
             generation.check_request(*bad)
 
 
+def test_patience_with_a_provider():
+    waits, answers = [], iter([generation.Refused(429, "Please try again in 1.5s"), generation.Refused(503), "done"])
+
+    def call(prompt: str) -> str:
+        a = next(answers)
+        if isinstance(a, Exception):
+            raise a
+        return a
+
+    assert generation.retried(call, sleep=waits.append)("p") == "done" and waits == [2.0, 2.0]
+    tries = []
+
+    def refused(prompt: str) -> str:
+        tries.append(prompt)
+        raise generation.Refused(500 if prompt == "busy" else 401)
+
+    for prompt, n in (("busy", 5), ("key", 1)):
+        tries.clear()
+        with pytest.raises(generation.Refused):
+            generation.retried(refused, sleep=waits.append)(prompt)
+        assert len(tries) == n
+
+
 def test_store_order_and_counters(spark):
     df = spark.createDataFrame([("f", 1, "d::text::2", "ok"), ("f", 1, "d::text::10", "ok"), ("e", None, "x", "error"), ("f", None, "d::text::1", None)], "source_file string, page_start int, chunk_id string, status string")
     assert [r["chunk_id"] for r in dedup.store_order(df).collect()] == ["x", "d::text::1", "d::text::10", "d::text::2"]
