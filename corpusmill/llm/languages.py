@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ from .shared import cut, slices
 #: Bytes of a window; filter widths (even, made of byte pairs); filters of each width; sizes of the embedding.
 WINDOW, WIDTHS, FILTERS, EMBED = 96, (2, 4, 6), 16, 8
 #: Labelled documents the training takes at most of each language, windows at most of each of them, and passes.
-SAMPLE, WINDOWS_EACH, EPOCHS = 80, 10, 8
+SAMPLE, WINDOWS_EACH, EPOCHS = 160, 8, 8
 #: Words of a sentence that counts as prose, and the confidence above which it speaks for a second language.
 LEAST_WORDS, SURE = 6, 0.95
 
@@ -175,11 +175,22 @@ def sentences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def word_counts(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Words with at least two letters in each sentence; bytes above 127 count as letters."""
+    """Words of each sentence; bytes above 127 count as letters.
+
+    Words of one letter count up to half as many as there are longer ones, so that lists of letters are no prose. In
+    scripts without spaces, which write a character in three bytes from 0xE3 on, two characters count as a word.
+    """
     letter = ((buffer | 32) >= 97) & ((buffer | 32) <= 122) | (buffer >= 128)
-    second = letter & np.r_[False, letter[:-1]] & ~np.r_[False, False, letter[:-2]]  # the second letter of a word
-    total = np.r_[0, np.cumsum(second)]
-    return total[ends] - total[starts]
+    before, after = np.r_[False, letter[:-1]], np.r_[letter[1:], False]
+    second = letter & before & ~np.r_[False, False, letter[:-2]]  # the second letter of a word
+    dense = (buffer >= 0xE3) & (buffer <= 0xED)
+
+    def held(marks: np.ndarray) -> np.ndarray:
+        total = np.r_[0, np.cumsum(marks)]
+        return total[ends] - total[starts]
+
+    long = held(second)
+    return long + np.minimum(held(letter & ~before & ~after), long // 2) + held(dense) // 2
 
 
 def train(documents: DataFrame, lang_codes: DataFrame, sample: int = SAMPLE, windows_each: int = WINDOWS_EACH, epochs: int = EPOCHS, seed: int = 1) -> ByteNet | None:
@@ -196,7 +207,10 @@ def train(documents: DataFrame, lang_codes: DataFrame, sample: int = SAMPLE, win
         return None
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample / n))])
     chance = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    rows = labelled.where(chance < F.element_at(share, F.col("code"))).limit(2 * sample * len(counts)).mapInPandas(_training_windows(windows_each, seed), "code string, bytes binary").collect()
+    drawn = labelled.withColumn("chance", chance).where(F.col("chance") < F.element_at(share, F.col("code")))
+    first_of = F.row_number().over(Window.partitionBy("code").orderBy("chance", F.xxhash64("text")))
+    bounded = drawn.withColumn("n", first_of).where(F.col("n") <= 2 * sample).select("code", "text")  # copies of one text are drawn together
+    rows = bounded.mapInPandas(_training_windows(windows_each, seed), "code string, bytes binary").collect()
     classes = sorted(counts)
     rows.sort(key=lambda r: (bytes(r["bytes"]), r["code"]))
     x = np.frombuffer(b"".join(bytes(r["bytes"]) for r in rows), np.uint8).reshape(-1, WINDOW)
@@ -283,14 +297,16 @@ def languages(found: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, lang, confidence, n_sentences, n_words): the languages of each document out of its segments.
 
     The language with the most words counts always, every other one where at least one whole sentence is surely in it.
+    Documents without prose have no row. Repeated keys are one document; a key may be a struct that tells them apart.
     """
-    each = found.select(key, F.explode("segments").alias("s")).select(key, "s.*")
-    by = each.groupBy(key, "lang").agg(
-        (F.sum(F.col("confidence") * F.col("n_sentences")) / F.sum("n_sentences")).alias("confidence"), F.sum("n_sentences").alias("n_sentences"),
-        F.sum("n_words").alias("n_words"), F.max("sure").alias("sure"),
+    by = found.select(key, F.explode("segments").alias("s")).groupBy(key, "s.lang").agg(
+        (F.sum(F.col("s.confidence") * F.col("s.n_sentences")) / F.sum("s.n_sentences")).alias("confidence"), F.sum("s.n_sentences").alias("n_sentences"),
+        F.sum("s.n_words").alias("n_words"), F.max("s.sure").alias("sure"),
     )
-    main = by.groupBy(key).agg(F.max_by("lang", F.struct("n_words", "lang")).alias("main"))
-    return by.join(main, key).where("sure OR lang = main").select(key, "lang", "confidence", "n_sentences", "n_words")
+    row = F.struct("n_words", "lang", "confidence", "n_sentences", "sure")
+    texts = by.groupBy(key).agg(F.collect_list(row).alias("all"), F.max(F.struct("n_words", "lang")).alias("main"))  # at most one for each language
+    spoken = F.filter("all", lambda x: x["sure"] | (x["lang"] == F.col("main.lang")))
+    return texts.select(key, F.explode(spoken).alias("x")).select(key, "x.lang", "x.confidence", "x.n_sentences", "x.n_words")
 
 
 def mislabelled(documents: DataFrame, lang_codes: DataFrame, net: ByteNet | None = None, **training) -> DataFrame:
@@ -302,9 +318,7 @@ def mislabelled(documents: DataFrame, lang_codes: DataFrame, net: ByteNet | None
     codes = code_table(lang_codes)
     rows = documents.select("doc_id", "text", label_code(F.col("lang"), codes).alias("label"))
     tagged = rows.select(F.struct("doc_id", "label", F.xxhash64("text").alias("same")).alias("row"), "text")
-    found = cut(segments(tagged, net, "row"), "segments")
-    each = found.select("row", F.explode("segments").alias("s")).groupBy("row", "s.lang").agg(F.sum("s.n_words").alias("n"), F.max("s.sure").alias("sure"))
-    texts = each.groupBy("row").agg(F.collect_list(F.struct("n", "lang", "sure")).alias("all"), F.max(F.struct("n", "lang")).alias("main"))
-    named = texts.select("row", F.transform(F.filter("all", lambda x: x["sure"] | (x["lang"] == F.col("main.lang"))), lambda x: x["lang"]).alias("langs"))
+    spoken = languages(cut(segments(tagged, net, "row"), "segments"), "row")
+    named = spoken.groupBy("row").agg(F.collect_list("lang").alias("langs"))
     right = (F.size("langs") == 1) & F.coalesce(F.array_contains("langs", F.col("row.label")), F.lit(False))
     return named.where(~right).select(F.col("row.doc_id").alias("doc_id"), F.explode("langs").alias("lang")).distinct()

@@ -79,9 +79,15 @@ def p8_segments(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", F.explode("segments").alias("s")).select("doc_id", "s.segment_no", "s.lang", F.round("s.confidence", 4).alias("confidence"), "s.n_sentences", "s.n_words")
 
 
+def p8_languages(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents")
+    found = languages.languages(languages.segments(documents, languages.train(documents, table(spark, d, "lang_codes"))))
+    return found.select("doc_id", "lang", F.round("confidence", 4).alias("confidence"), "n_sentences", "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_pieces, p2_found, p2_repaired, p3_found, p3_classes, p3_canonical, p4_found, p4_without, p5_found, p5_readable, p6_found, p7_mixture, p7_shares, p8_found, p8_segments)
+    for f in (p1_found, p1_pieces, p2_found, p2_repaired, p3_found, p3_classes, p3_canonical, p4_found, p4_without, p5_found, p5_readable, p6_found, p7_mixture, p7_shares, p8_found, p8_segments, p8_languages)
 }
 
 _PATH = r"regexp_replace(regexp_replace(trim(source_file), '[\\/]+', '/', 'g'), '^(\./|/)+', '')"

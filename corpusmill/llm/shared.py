@@ -2,52 +2,26 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch
+
 #: Rows up to which a written table is broadcast in a look-up, and parts that the other side is dealt over beyond.
 BROADCAST_ROWS, SALTS = 200_000, 16
-_WRITTEN: list[str] = []
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write the rows to the shared folder in spark.checkpoint.dir and read them again."""
-    spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), f"corpusmill-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names. Where it is unset a local session gets a temporary folder, which goes
-    when Python ends; on a cluster there is no folder that all machines see, so it is an error."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="spark-corpusmill-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    """Cut the lineage: write the rows to the shared folder in spark.checkpoint.dir and read them again.
 
-
-def release(spark: SparkSession) -> int:
-    """Remove the tables written so far, once their results have been read; returns their number."""
-    jvm, n = spark._jvm, 0
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
-    return n
+    `sources.scratch.release` removes what was written, once the results have been read.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def looked_up(left: DataFrame, right: DataFrame, on: list[str], spread: Column, rows: int, how: str = "inner") -> DataFrame:
