@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K, OVERFETCH, QUERY_BLOCK = 8, 5, 2_000
+from ..functions.needles import found_in
+
+K, OVERFETCH, QUERY_BLOCK, NEEDLE_BLOCK = 8, 5, 2_000, 100_000
 
 
 def top_k(queries: DataFrame, corpus: DataFrame, k: int = K, block: int = QUERY_BLOCK, digits: int = 6) -> DataFrame:
@@ -99,6 +102,19 @@ def any_contains(text: Column, needles: Column) -> Column:
     return F.exists(needles, lambda n: F.contains(F.lower(text), F.lower(n)))
 
 
+def needles_found(needles: DataFrame, texts: DataFrame, key: str, text: str = "text", block: int = NEEDLE_BLOCK) -> DataFrame:
+    """(key, n): the needles (n) that each text contains, letter case aside, each once for a row.
+
+    The needles are a stated query set: they go over all texts in blocks of at most about `block`, so that what is sent to
+    a task is bounded whatever their number. Null and empty needles are in no text.
+    """
+    wanted = needles.select(F.lower("n").alias("n")).where("n <> ''").distinct()
+    parts = max(1, -(-wanted.count() // block))
+    dealt = wanted.withColumn("_part", F.pmod(F.xxhash64("n"), F.lit(parts)))
+    found = [texts.select(key, F.explode(found_in(F.lower(F.col(text)), sorted(r["n"] for r in dealt.where(F.col("_part") == part).collect()))).alias("n")) for part in range(parts)]
+    return reduce(DataFrame.unionByName, found)
+
+
 def hit_rates(hits: DataFrame, by: str, ks: tuple[int, ...] = (1, 3, 5)) -> DataFrame:
     """hits (query_id, by, rank, content_hit, source_hit) -> counts and rates for each k, by group and over all ('all')."""
     first = hits.groupBy("query_id", by).agg(F.min(F.when(F.col("content_hit"), F.col("rank"))).alias("content"), F.min(F.when(F.col("source_hit"), F.col("rank"))).alias("source"))

@@ -541,15 +541,9 @@ WITH needles AS (SELECT DISTINCT lower(unnest(must_contain_any)) AS n FROM eval_
 SELECT item_id, section, coalesce(max(docs), 0) AS docs, min(first_doc) AS first_doc, coalesce(bool_or(docs > 0), false) AS found
 FROM (SELECT item_id, section, unnest(must_contain_any) AS m FROM eval_items) LEFT JOIN held ON n = lower(m) GROUP BY item_id, section""")
 def needle_documents(spark: SparkSession, d: str) -> DataFrame:
-    """For each item the documents that contain one of its needles. The needles are a small stated set: each text is
-    searched for all of them in its task, and only needles found are counted."""
+    """For each item the documents that contain one of its needles."""
     items = table(spark, d, "eval_items").select("item_id", "section", F.explode("must_contain_any").alias("m")).withColumn("n", F.lower("m"))
-    needles = [r[0] for r in items.select("n").distinct().orderBy("n").limit(100_001).collect()]
-    if len(needles) > 100_000:
-        raise ValueError("more than 100,000 needles")
-    from ..functions.needles import found_in
-
-    docs = table(spark, d, "documents").select("doc_id", F.explode(found_in(F.lower("text"), needles)).alias("n"))
+    docs = retrieval.needles_found(items.select("n"), table(spark, d, "documents"), "doc_id")
     held = docs.groupBy("n").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first_doc"))
     rows = items.join(held, "n", "left").groupBy("item_id", "section")
     return rows.agg(F.coalesce(F.max("docs"), F.lit(0)).alias("docs"), F.min("first_doc").alias("first_doc"), F.coalesce(F.bool_or(F.col("docs") > 0), F.lit(False)).alias("found"))

@@ -193,6 +193,13 @@ def test_budget_stops_at_a_hit_and_passes_over_linked_blocks(spark):
     assert got["blocks"] == 2 and got["used_chars"] == 60 + head + 10 + linked_head
 
 
+def test_needles_in_blocks(spark):
+    needles = spark.createDataFrame([("Abc",), ("b",), ("",), (None,), ("abc",)], "n string")
+    texts = spark.createDataFrame([(1, "xABCx"), (2, "B"), (3, None), (4, "")], "id int, text string")
+    for block in (10, 1):
+        assert rows(retrieval.needles_found(needles, texts, "id", block=block)) == [(1, "abc"), (1, "b"), (2, "b")]
+
+
 def test_search_ranks_ties_by_id(spark):
     corpus = spark.createDataFrame([(3, [1.0, 0.0], "a/X.pdf"), (1, [2.0, 0.0], "b/y.pdf"), (2, [0.0, 1.0], "a/x.pdf"), (4, [0.0, 0.0], "a"), (5, None, "a"), (6, [1.0], "a")], "vec_id long, embedding array<float>, source_file string")
     asked = spark.createDataFrame([(7, [1.0, 0.0]), (8, None)], "query_id long, embedding array<float>")
