@@ -21,6 +21,14 @@ def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_oversized(table(spark, d, "chunks")).select("chunk_seq", "piece_no", "heading", "text", "char_count", "overlap_chars")
 
 
+def p1_rejoined(spark: SparkSession, d: str) -> DataFrame:
+    """Every text put together again out of its pieces without their overlaps, and whether the pieces keep the limit."""
+    found = splitting.split_oversized(table(spark, d, "chunks"))
+    part = F.struct("piece_no", F.col("text").substr(F.col("overlap_chars") + 1, F.length("text")).alias("new"))
+    whole = found.groupBy("chunk_seq").agg(F.array_sort(F.collect_list(part)).alias("parts"), F.bool_and(F.coalesce((F.length("text") <= splitting.LIMIT) & (F.col("char_count") == F.length("text")) & (F.col("overlap_chars") <= splitting.OVERLAP), F.lit(True))).alias("within"))
+    return whole.select("chunk_seq", F.when(F.col("parts")[0]["new"].isNotNull(), F.md5(F.array_join(F.transform("parts", lambda p: p["new"]), ""))).alias("text_md5"), "within")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return encoding.garbled(table(spark, d, "page_extracts"))
 
@@ -87,7 +95,7 @@ def p8_languages(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_pieces, p2_found, p2_repaired, p3_found, p3_classes, p3_canonical, p4_found, p4_without, p5_found, p5_readable, p6_found, p7_mixture, p7_shares, p8_found, p8_segments, p8_languages)
+    for f in (p1_found, p1_pieces, p1_rejoined, p2_found, p2_repaired, p3_found, p3_classes, p3_canonical, p4_found, p4_without, p5_found, p5_readable, p6_found, p7_mixture, p7_shares, p8_found, p8_segments, p8_languages)
 }
 
 _PATH = r"regexp_replace(regexp_replace(trim(source_file), '[\\/]+', '/', 'g'), '^(\./|/)+', '')"
@@ -116,6 +124,7 @@ often AS (SELECT site, wording FROM w JOIN sizes USING (site) WHERE wording <> '
 
 ORACLES: dict[str, str] = {
     "p1_found": "SELECT DISTINCT chunk_seq FROM chunks WHERE length(text) > 1600",
+    "p1_rejoined": "SELECT chunk_seq, md5(text) AS text_md5, true AS within FROM chunks",
     "p3_found": f"WITH {_LOOKS} SELECT a.chunk_seq AS chunk_seq_a, b.chunk_seq AS chunk_seq_b FROM l a JOIN l b USING (look) WHERE a.chunk_seq < b.chunk_seq AND a.raw <> b.raw",
     "p3_classes": f"""
 WITH {_LOOKS}, more AS (SELECT look FROM l GROUP BY look HAVING count(DISTINCT raw) > 1)

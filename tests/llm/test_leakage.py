@@ -100,6 +100,19 @@ def test_stock_openings_count_over_all_blocks(spark):
         assert [tuple(x)[:2] for x in leakage.leaked_items(documents, items, block_characters=size).collect()] == [(2, "s0")]
 
 
+def test_recall_against_all_pairs_that_share_a_shingle(spark, data):
+    items = spark.read.parquet(f"{data}/eval_items.parquet").collect()
+    index, pairs, found = leakage.Index(leakage.item_texts(items)), set(), set()
+    for d, text in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect():
+        words = leakage.words_of(text)
+        h = leakage._hashes(words, {})
+        if len(h):
+            held = set(h.tolist())
+            pairs |= {(d, t) for t, (own, _) in enumerate(index.shingles) if not held.isdisjoint(own.tolist()) and index.verified(words, h, t)}
+            found |= {(d, t) for _, t in index.candidates(h, np.asarray([len(h)])) if index.verified(words, h, t)}
+    assert found <= pairs and len(found) >= 0.99 * len(pairs)
+
+
 def test_sketch_of_fixed_size():
     for size in leakage.SIZES:
         r = leakage.rows_of_a_band(size)
