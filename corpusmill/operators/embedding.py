@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,17 +15,22 @@ Encoder = Callable[[list[str]], np.ndarray]
 QUERY_PREFIX = "Represent this sentence for searching relevant passages: "
 
 
+@lru_cache(maxsize=200_000)
+def _hash(word: str) -> int:
+    return int(hashlib.md5(word.encode("utf-8", "replace")).hexdigest()[:8], 16)
+
+
 def hashed_words(dimension: int = 64) -> Encoder:
-    """A deterministic encoder without a model: signed hashed word counts, of unit norm."""
+    """A deterministic encoder without a model: signed counts of words by the first 32 bits of their MD5, of unit norm."""
 
     def encode(texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), dimension), np.float32)
+        out = np.zeros((len(texts), dimension))
         for row, text in zip(out, texts):
             for w in text.lower().split():
-                h = xxhash.xxh64_intdigest(w)
-                row[h % dimension] += 1 if h >> 63 else -1
+                h = _hash(w)
+                row[h % dimension] += 1 if h >> 31 else -1
         norm = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.where(norm == 0, 1, norm)
+        return (out / np.where(norm == 0, 1, norm)).astype(np.float32)
 
     return encode
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.paths import clean_path, site_of
-from ..operators import generation, quality, retrieval, survey
+from ..operators import embedding, generation, quality, retrieval, survey
 from ..sources import files, sinks
 from ..sources.scratch import scratch
 from ..sources.tables import table
@@ -170,3 +172,77 @@ def store_places(spark: SparkSession, d: str) -> DataFrame:
     """The place of each chunk on its page in the order of the store, ids compared as strings."""
     rows = table(spark, d, "chunks").select(clean_path(F.col("source_file")).alias("source_file"), F.coalesce("page_start", F.lit(0)).alias("page"), "chunk_id", "chunk_seq")
     return rows.select("source_file", "chunk_id", F.row_number().over(Window.partitionBy("source_file", "page").orderBy("chunk_id", "chunk_seq")).alias("place"))
+
+
+# ---- adapters: encoders and models ---------------------------------------------------------------------------------
+def _encoded(texts: str) -> str:
+    """SQL for the encoder without a model: out of (id, text) the places of each vector that are not 0."""
+    words = f"SELECT id, unnest(list_filter(string_split_regex(lower(text), '[{X.WHITE}]+'), lambda x: x <> '')) AS w FROM ({texts})"
+    places = f"SELECT id, (h % 64)::INTEGER AS dim, sum(CASE WHEN h >= 2147483648 THEN 1 ELSE -1 END)::DOUBLE AS v FROM (SELECT id, ('0x' || substring(md5(w), 1, 8))::UBIGINT AS h FROM ({words})) GROUP BY ALL"
+    return f"SELECT id, dim, (v / sqrt(sum(v * v) OVER (PARTITION BY id)))::FLOAT::DOUBLE AS value FROM ({places}) QUALIFY v <> 0"
+
+
+def _places(vectors: DataFrame, key: str) -> DataFrame:
+    return vectors.select(F.col(key).alias("id"), F.posexplode("embedding").alias("dim", "v")).where("v <> 0").select("id", "dim", F.col("v").cast("double").alias("value"))
+
+
+@query(_encoded("SELECT chunk_seq AS id, text FROM chunks"))
+def embedding_values(spark: SparkSession, d: str) -> DataFrame:
+    """Passages encoded in batches of like length, place by place."""
+    return _places(embedding.embed(table(spark, d, "chunks"), "chunk_seq", "text", by_length=True), "chunk_seq")
+
+
+@query(_encoded(f"SELECT item_id AS id, '{embedding.QUERY_PREFIX}' || question AS text FROM eval_items WHERE question IS NOT NULL"))
+def question_values(spark: SparkSession, d: str) -> DataFrame:
+    """Questions encoded with the prefix that some models want for queries only."""
+    return _places(embedding.embed(table(spark, d, "eval_items"), "item_id", "question", model="bge-small", queries=True), "item_id")
+
+
+@query("SELECT count(*) AS rows, count(*) FILTER (WHERE status IS DISTINCT FROM 'ok') AS failed FROM extract_log")
+def observed_counters(spark: SparkSession, d: str) -> DataFrame:
+    """Counters that are filled while the log is written elsewhere."""
+    rows, counters = survey.observed(table(spark, d, "extract_log").select("log_id", "status"))
+    rows.write.parquet(scratch(spark, "log-copy"))
+    return spark.createDataFrame([(counters.get["rows"], counters.get["failed"])], "rows long, failed long")
+
+
+#: A model in place of a provider: what it answers follows from the length of the prompt.
+MADE = {"questions": [{"question": "How far does the cart go?", "options": ["one", "two", "three", "four"], "correct_answer": "two", "shortcut_used": "count the velvet orchard wheels"}]}
+
+
+def _model(prompt: str) -> str:
+    kind = len(prompt) % 4
+    if kind == 2:
+        raise TimeoutError("late")
+    good = json.dumps(MADE)
+    return good if kind == 0 else f"Here:\n```json\n{good}\n```" if kind == 1 else '{"questions": [{"question": "Why?"}]}'
+
+
+def _judge(prompt: str) -> str:
+    kind = len(prompt) % 3
+    return json.dumps({"answer_correct": kind > 0, "shortcut_grounded": kind > 1, "confidence": 0.5, "notes": ""})
+
+
+_PROMPT = len(f"{generation.SYSTEM}\n\nTopic: \nQuestions: 3\n\nExcerpts:\n")
+_JUDGED = len(f"{generation.JUDGE}\n\nQuestion: \n\nExcerpts:\n") + len(json.dumps(MADE["questions"][0], separators=(",", ":")))
+GENERATED = f"""
+SELECT item_id, topic, context, coalesce(trim(context) = '', true) AS none, (length(topic) + length(context) + {_PROMPT}) % 4 AS kind FROM (SELECT item_id, topic, passage AS context FROM eval_items)"""
+
+
+def _generated(spark: SparkSession, d: str) -> DataFrame:
+    contexts = table(spark, d, "eval_items").select("item_id", "topic", F.col("passage").alias("context"))
+    return generation.quizzes(contexts, generation.retried(_model))
+
+
+@query(f"SELECT item_id, coalesce(NOT none AND kind < 2, false) AS valid, CASE WHEN none THEN 'nothing was found' WHEN kind = 2 THEN 'TimeoutError: late' WHEN kind = 3 THEN 'the reply is no valid quiz' END AS error FROM ({GENERATED})")
+def generated_quizzes(spark: SparkSession, d: str) -> DataFrame:
+    """Quizzes about each item's passage: recovered, validated, failed or refused."""
+    return _generated(spark, d).select("item_id", "valid", "error")
+
+
+@query(f"""
+SELECT item_id, (length(context) + {_JUDGED}) % 3 > 1 AS ok, round_even(len(list_intersect(w, regexp_extract_all(lower(context), '[a-z]{{4,}}'))) / len(w)::DOUBLE, 2) AS lexical, true AS distinct_options
+FROM (SELECT *, ['count', 'velvet', 'orchard', 'wheels'] AS w FROM ({GENERATED})) WHERE NOT none AND kind < 2""")
+def judged_quizzes(spark: SparkSession, d: str) -> DataFrame:
+    """Every question of the valid quizzes with its lexical score and a judge's verdict."""
+    return generation.judged(_generated(spark, d), _judge).select("item_id", "ok", "lexical", "distinct_options")

@@ -181,6 +181,13 @@ def link_table(spark: SparkSession, path: str) -> DataFrame:
     return found.withColumns({c: F.translate(c, "\\", "/") for c in ("path", "linked_to")})
 
 
+def link_map(spark: SparkSession, path: str) -> DataFrame:
+    """Links from JSON documents that map each path to its role, linked_to and match_type; `/` separators."""
+    ends = "map<string,struct<role:string,linked_to:string,match_type:string>>"
+    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", ends)).alias("path", "l"))
+    return rows.select(F.translate("path", "\\", "/").alias("path"), "l.role", F.translate("l.linked_to", "\\", "/").alias("linked_to"), "l.match_type")
+
+
 def eval_set(spark: SparkSession, path: str) -> DataFrame:
     """Items of an evaluation set kept as one JSON document."""
     return spark.read.option("multiLine", "true").schema(f"items array<struct<{','.join(':'.join(x.split(' ', 1)) for x in schemas.EVAL_ITEM.split(', '))}>>").json(path).selectExpr("inline(items)")

@@ -305,6 +305,8 @@ def test_stores(spark, tmp_path):
     sinks.load_vectors(vectors.where("chunk_id = 'a'"), str(tmp_path / "v"))
     sinks.load_vectors(vectors, str(tmp_path / "v"), resume=True)
     assert spark.read.parquet(str(tmp_path / "v")).count() == 2
+    (tmp_path / "map.json").write_text(json.dumps({"a\\b": {"role": "question", "linked_to": "c\\d", "match_type": "m"}, "c\\d": {"role": "answer", "linked_to": "a\\b"}}, indent=2))
+    assert rows(files.link_map(spark, str(tmp_path / "map.json"))) == [("a/b", "question", "c/d", "m"), ("c/d", "answer", "a/b", None)]
     (tmp_path / "eval.json").write_text(json.dumps({"_README": "x", "items": [{"id": "1", "section": "QA", "topic": "t", "question": "q", "must_contain_any": ["a"], "expected_source_any": []}]}))
     assert files.eval_set(spark, str(tmp_path / "eval.json")).first()["must_contain_any"] == ["a"]
 
