@@ -53,7 +53,9 @@ def suspect(text: str) -> bool:
     """Whether `fold` could change the text, or letters of two scripts stand side by side in it."""
     if text.isascii():
         return False
-    return _SUSPECT.search(text) is not None or (_OTHER_SCRIPT.search(text) is not None and _MIXED.search(text) is not None)
+    if _SUSPECT.search(text) is not None or (_OTHER_SCRIPT.search(text) is not None and _MIXED.search(text) is not None):
+        return True
+    return not unicodedata.is_normalized("NFC", text)
 
 
 def _folded(text: str) -> str:
