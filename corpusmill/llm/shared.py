@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..sources.scratch import scratch
 
 #: Rows up to which a written table is broadcast in a look-up, and parts that the other side is dealt over beyond.
-BROADCAST_ROWS, SALTS = 200_000, 16
+BROADCAST_ROWS, SALTS = 100_000, 16
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
